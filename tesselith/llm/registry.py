@@ -1,8 +1,10 @@
 """The queries of this subpackage, and SQL for those that SQL can express over whole tables."""
 
+from .imatch import op5_fingerprints
 from .mixing import op8_mix_sources
 
 QUERIES = {
+    "op5_fingerprints": op5_fingerprints,
     "op8_mix_sources": op8_mix_sources,
 }
 ORACLE_SQL: dict[str, str] = {}
