@@ -1,10 +1,14 @@
 """The queries of this subpackage, and SQL for those that SQL can express over whole tables."""
 
+from .bpe import op1_byte_bpe
 from .imatch import op5_fingerprints
 from .mixing import op8_mix_sources
+from .token_counts import op7_token_counts
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op5_fingerprints": op5_fingerprints,
+    "op7_token_counts": op7_token_counts,
     "op8_mix_sources": op8_mix_sources,
 }
 ORACLE_SQL: dict[str, str] = {}
