@@ -3,11 +3,13 @@
 from .bpe import op1_byte_bpe
 from .imatch import op5_fingerprints
 from .mixing import op8_mix_sources
+from .token_files import op4_token_files
 from .token_counts import op7_token_counts
 from .toxicity import op6_toxicity
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_token_files": op4_token_files,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
