@@ -104,18 +104,20 @@ def with_next(docs: DataFrame) -> DataFrame:
     return rows.select("bucket", F.row_number().over(w).alias("rn"), "guest", "doc_id", "text", F.lead("text").over(w).alias("next_text"))
 
 
-def fingerprints(rows: DataFrame, keys: list[str], texts: list[str], lex: DataFrame) -> DataFrame:
-    """keys, kind and fp: for each row the fingerprint of each of its texts; kind is the text's place in the list.
+def fingerprints(rows: DataFrame, keys: list[str], texts: list[str], lex: DataFrame, carried: dict[str, Column] | None = None) -> DataFrame:
+    """keys, kind, the carried columns and fp: for each row the fingerprint of each text; kind is its place in the list.
 
     With rows dealt by one of the keys no further exchange is needed.
     """
-    # own is made inside the array: made beside explode() it would be made again for each exploded row
-    kinds = F.posexplode(F.array(*[F.struct(F.col(t).alias("t"), F.xxhash64(F.lower(t)).alias("own")) for t in texts])).alias("kind", "x")
-    x = rows.select(*keys, kinds).where("x.t is not null")
-    x = x.select(*keys, "kind", F.col("x.own").alias("own"), F.explode(F.array_union(terms(F.col("x.t")), F.array(F.lit("")))).alias("term"))
-    x = x.select(*keys, "kind", "own", F.xxhash64("term").alias("h")).join(F.broadcast(lex), "h")
-    x = x.groupBy(*keys, "kind", "own").agg(F.sort_array(F.collect_list(F.struct("h", "mask"))).alias("found"))
-    return x.select(*keys, "kind", fingerprint(F.col("found"), F.col("own")).alias("fp"))
+    # what is made inside the array is made once a text; made beside explode() it would be made for each exploded row
+    carried = carried or {}
+    once = [F.struct(F.col(t).alias("t"), F.xxhash64(F.lower(t)).alias("own"), *[c.alias(n) for n, c in carried.items()]) for t in texts]
+    x = rows.select(*keys, F.posexplode(F.array(*once)).alias("kind", "x")).where("x.t is not null")
+    group = [*keys, "kind", "own", *carried]
+    x = x.select(*keys, "kind", "x.own", *[f"x.{n}" for n in carried], F.explode(F.array_union(terms(F.col("x.t")), F.array(F.lit("")))).alias("term"))
+    x = x.select(*group, F.xxhash64("term").alias("h")).join(F.broadcast(lex), "h")
+    x = x.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("h", "mask"))).alias("found"))
+    return x.select(*keys, "kind", *carried, fingerprint(F.col("found"), F.col("own")).alias("fp"))
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,10 +126,9 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
     rows = with_next(docs).withColumn("edited", F.when(~F.col("guest"), edited))
-    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited_sha256", F.sha2("edited", 256))
-    keys = ["bucket", "rn", "guest", "doc_id", "n_chars", "edited_sha256"]
-    fps = fingerprints(rows, keys, ["text", "edited"], lex)
-    one = fps.groupBy(*keys).agg(F.max(F.when(F.col("kind") == 0, F.col("fp"))).alias("fingerprint"), F.max(F.when(F.col("kind") == 1, F.col("fp"))).alias("edited_fingerprint"))
+    carried = {"n_chars": F.length("text").cast("long"), "edited_sha256": F.sha2("edited", 256)}
+    fps = fingerprints(rows, ["bucket", "rn", "guest", "doc_id"], ["text", "edited"], lex, carried)
+    one = fps.groupBy("bucket", "rn", "guest", "doc_id", *carried).agg(F.max(F.when(F.col("kind") == 0, F.col("fp"))).alias("fingerprint"), F.max(F.when(F.col("kind") == 1, F.col("fp"))).alias("edited_fingerprint"))
     one = one.withColumn("next", F.lead("fingerprint").over(Window.partitionBy("bucket").orderBy("rn"))).where("not guest")
     near = likeness(F.col("fingerprint"), F.col("edited_fingerprint")), likeness(F.col("fingerprint"), F.col("next"))
     return one.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near[0].alias("near_edited"), near[1].alias("near_next"))
