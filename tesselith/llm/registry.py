@@ -2,6 +2,7 @@
 
 from .bpe import op1_byte_bpe
 from .imatch import op5_fingerprints
+from .minhash_forest import op9_minhash_forest
 from .mixing import op8_mix_sources
 from .token_files import op4_token_files
 from .token_counts import op7_token_counts
@@ -14,5 +15,6 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_mix_sources": op8_mix_sources,
+    "op9_minhash_forest": op9_minhash_forest,
 }
 ORACLE_SQL: dict[str, str] = {}
