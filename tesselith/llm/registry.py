@@ -5,11 +5,13 @@ from .imatch import op5_fingerprints
 from .minhash_forest import op9_minhash_forest
 from .mixing import op8_mix_sources
 from .token_files import op4_token_files
+from .phrase_automata import op3_phrase_automata
 from .token_counts import op7_token_counts
 from .toxicity import op6_toxicity
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_phrase_automata": op3_phrase_automata,
     "op4_token_files": op4_token_files,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
