@@ -6,6 +6,7 @@ from .minhash_forest import op9_minhash_forest
 from .mixing import op8_mix_sources
 from .token_files import op4_token_files
 from .phrase_automata import op3_phrase_automata
+from .suffix_arrays import op10_suffix_arrays
 from .token_counts import op7_token_counts
 from .toxicity import op6_toxicity
 
@@ -18,5 +19,6 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_mix_sources": op8_mix_sources,
     "op9_minhash_forest": op9_minhash_forest,
+    "op10_suffix_arrays": op10_suffix_arrays,
 }
 ORACLE_SQL: dict[str, str] = {}
