@@ -267,6 +267,25 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return _split(docs, pattern).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_and_verify(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids, decoded_sha256; fails if the decoded bytes are not those of the text."""
+
+    def run(batches):
+        for doc_id, bpe, rows in encoded_batches(batches, ranks_path, pattern):
+            ids = [bpe.gather(r) for r in rows]
+            n = [len(x) for x in ids]
+            dec = [hashlib.sha256(bpe.decode(x.tolist())).hexdigest() for x in ids]
+            flat = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(np.concatenate(ids).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(n, pa.int64()), flat, pa.array(dec, pa.string())], ["key", "n_tokens", "ids", "decoded_sha256"])
+
+    words, odd = pretokens(F.col("text"), pattern)
+    # the text's hash goes through the coder in the key's place, so that both can be compared
+    keyed = docs.select(F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")).alias("doc_id"), words.alias("words"), odd.alias("odd"))
+    out = keyed.mapInArrow(run, "key struct<doc_id: long, text_sha256: string>, n_tokens long, ids array<int>, decoded_sha256 string")
+    same = F.when(F.col("decoded_sha256") == F.col("key.text_sha256"), F.col("decoded_sha256")).otherwise(F.raise_error(F.concat(F.lit("not the same after decoding: "), F.col("key.doc_id"))))
+    return out.select("key.doc_id", "n_tokens", "ids", same.alias("decoded_sha256"))
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str = RANKS) -> DataFrame:
     import public_tokenizers
 

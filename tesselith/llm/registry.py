@@ -5,6 +5,7 @@ from .imatch import op5_fingerprints
 from .minhash_forest import op9_minhash_forest
 from .mixing import op8_mix_sources
 from .token_files import op4_token_files
+from .nn_descent import op2_nn_descent
 from .phrase_automata import op3_phrase_automata
 from .suffix_arrays import op10_suffix_arrays
 from .token_counts import op7_token_counts
@@ -12,6 +13,7 @@ from .toxicity import op6_toxicity
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_nn_descent": op2_nn_descent,
     "op3_phrase_automata": op3_phrase_automata,
     "op4_token_files": op4_token_files,
     "op5_fingerprints": op5_fingerprints,
