@@ -6,7 +6,7 @@ table from state and class to state and weight. A clause scores what the compose
 over its clauses, so that an offence that is negated or only reported counts less than one aimed at somebody.
 
 The offence stems are learned: prefixes of words that are frequent in texts labelled toxic and rare in others, by counts over
-all labelled training rows. Their log-odds are the arc weights. Stems have SUPPORT at least in the toxic texts, so
+the labelled training rows, MOST_LABELS of them at most. Their log-odds are the arc weights. Stems have SUPPORT at least in the toxic texts, so
 that a text's words over SUPPORT bound their number, not the size of the corpus.
 
 Defined cases: null and empty texts score PRIOR; rows with null labels teach nothing; a doc_id that is labelled twice as
@@ -30,6 +30,8 @@ PRIOR = 0.03
 #: A stem is in this share of the toxic training texts at least (and in MIN_TEXTS), and in this ratio to the clean ones.
 SUPPORT, MIN_TEXTS, RATIO = 0.01, 5, 5.0
 STEM_LENGTHS = range(3, 9)
+#: Most labelled rows to learn from; of more, those whose doc_id has the least hashes. So many rows (12 bytes each) are broadcast.
+MOST_LABELS = 200_000
 
 TARGET = "you your u he she they them him her her's du dich dir ihr euch sie er tu toi te vous il elle ils tú ti usted ustedes él ella ellos".split()
 NEGATION = "not no never isn't aren't don't nicht kein keine nie niemals pas jamais aucun nunca jamás ningún".split()
@@ -174,9 +176,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of the labelled rows that may be learned from."""
+    """text and toxic of the labelled rows that may be learned from, MOST_LABELS at most: texts are not shuffled."""
     marks = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    return docs.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
+    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(MOST_LABELS)
+    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", "toxic")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, all_docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
