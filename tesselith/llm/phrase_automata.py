@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .recurrence import LAST, Words, covered, recurring_runs
+from .recurrence import LAST, Words, covered, recurring_runs, unzipped
 
 WINDOW = 13
 
@@ -63,8 +63,8 @@ def repeated_words(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
     def cut(frames):
         for pdf in frames:
             out = []
-            for node, text, spans in zip(pdf["node"], pdf["text"], pdf["spans"]):
-                words = text.encode().split()
+            for node, text, spans in zip(pdf["node"], unzipped(pdf["z"].tolist()), pdf["spans"]):
+                words = text.split()
                 gone = covered(len(words), spans, window)
                 kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
                 out.append((node, int(gone.sum()), kept.decode(), hashlib.sha256(kept).hexdigest()))

@@ -25,6 +25,8 @@ from .common import pieces, stored
 from .shingles import WordHashes, mixed, windows
 
 LAST = 2**63 - 1
+#: Documents to a bucket of anchors, with some 20 bytes of anchors a word.
+BUCKET_DOCS = 8000
 #: Bytes of fragments that a locator gets at once.
 SHARD_BYTES = 2 << 20
 
@@ -118,42 +120,150 @@ def scan_rows(docs: DataFrame, make_kind: Callable) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, n long, sha256 string")
 
 
-def scan_anchors(docs: DataFrame, make_kind: Callable, window: int) -> DataFrame:
-    """anchor, node: each anchor of each node, once a batch."""
+LOW = (1 << 40) - 1
+
+
+def _packed(anchors: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The low five bytes of both, a row each."""
+    return np.hstack([x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5] for x in (anchors, nodes)])
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(data, np.uint8).reshape(-1, 10)
+    wide = np.zeros((2, len(rows), 8), np.uint8)
+    wide[0, :, :5], wide[1, :, :5] = rows[:, :5], rows[:, 5:]
+    a, n = wide.view("<u8")[..., 0]
+    return a.astype(np.int64), n.astype(np.int64)
+
+
+def scan_anchors(docs: DataFrame, make_kind: Callable, window: int, buckets: int) -> DataFrame:
+    """bucket, direct, pairs: anchors and the nodes that have them, ten bytes a pair, dealt to buckets by the anchor.
+
+    An anchor that several nodes of a batch have is settled there: all its pairs go on as direct, and one stands for
+    them in the bucket, so that an anchor that everybody has is one pair a batch.
+    """
 
     def run(batches):
         kind = make_kind()
         for b in batches:
+            found, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, _, texts in _texts(b, 4 << 20):
                 parts = list({_node(kind.join(p)): p for p in map(kind.split, texts) if len(p) >= window}.items())
-                found = [np.unique(a) for a in anchor_rows(kind, [p for _, p in parts], window)]
-                if found:
-                    nodes = np.repeat(np.array([n for n, _ in parts], np.int64), [len(a) for a in found])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(nodes)], ["anchor", "node"])
+                own = [np.unique(a) for a in anchor_rows(kind, [p for _, p in parts], window)]
+                found += own
+                nodes.append(np.repeat(np.array([n for n, _ in parts], np.int64), [len(a) for a in own]))
+            a, n = np.concatenate(found).view(np.uint64), np.concatenate(nodes).view(np.uint64)
+            if not len(a):
+                continue
+            order = np.lexsort((n, a))
+            a, n = a[order], n[order]
+            fresh = np.append(True, (a[1:] != a[:-1]) | (n[1:] != n[:-1]))
+            a, n = a[fresh], n[fresh]
+            first = np.append(True, a[1:] != a[:-1])
+            many = np.repeat(np.diff(np.append(np.flatnonzero(first), len(a))) > 1, np.diff(np.append(np.flatnonzero(first), len(a))))
+            out = [(int(n[0] % np.uint64(buckets)), True, _packed(a[many], n[many]).tobytes())] if many.any() else []
+            a, n = a[first], n[first]
+            bucket = ((a >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            rows, bucket = _packed(a[order], n[order]), bucket[order]
+            cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+            out += [(int(bucket[i]), False, rows[i:j].tobytes()) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.bool_(), pa.binary()))], ["bucket", "direct", "pairs"])
+
+    return docs.select("text").mapInArrow(run, "bucket long, direct boolean, pairs binary")
+
+
+def shared_anchors(dealt: DataFrame) -> DataFrame:
+    """node, anchor (both their low five bytes): anchors of several nodes. Rows of a bucket come in a row."""
+
+    def run(batches):
+        now, held = None, []
+
+        def settled():
+            a, n = _unpacked(b"".join(held))
+            order = np.lexsort((n, a))
+            a, n = a[order], n[order]
+            starts = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+            sizes = np.diff(np.append(starts, len(a)))
+            differ = np.repeat(np.minimum.reduceat(n, starts) != np.maximum.reduceat(n, starts), sizes)
+            return pa.RecordBatch.from_arrays([pa.array(n[differ]), pa.array(a[differ])], ["node", "anchor"])
+
+        for b in batches:
+            for bucket, direct, pairs in zip(*(b.column(c).to_pylist() for c in ("bucket", "direct", "pairs"))):
+                if direct:
+                    a, n = _unpacked(pairs)
+                    yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(a)], ["node", "anchor"])
+                    continue
+                if bucket != now and held:
+                    yield settled()
+                    held = []
+                now = bucket
+                held.append(pairs)
+        if held:
+            yield settled()
 
-    return docs.select("text").mapInArrow(run, "anchor long, node long")
+    return dealt.mapInArrow(run, "node long, anchor long")
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """doc, z: texts compressed before they are shuffled."""
+
+    def run(batches):
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array([press(t.encode()) for t in b.column("text").to_pylist()], pa.binary())], ["doc", "z"])
+
+    return docs.select("doc", "text").where("text is not null").mapInArrow(run, "doc long, z binary")
+
+
+def unzipped(values: list[bytes]) -> list[bytes]:
+    import zstandard
+
+    return list(map(zstandard.ZstdDecompressor().decompress, values))
 
 
 def cut_fragments(candidates: DataFrame, make_kind: Callable, window: int) -> DataFrame:
-    """candidates: node, doc, text, anchors. anchor, fragment, node, doc, start: stretches of runs with one of the anchors."""
+    """candidates: node, doc, z, anchors. Stretches of runs with one of the anchors: h, node, doc, start for each; and for
+    each that differs in a batch anchor, fragment, h, lo, hi, the least and greatest document that has it there."""
+    names = ["h", "node", "doc", "start", "anchor", "fragment", "lo", "hi"]
 
     def run(batches):
         kind = make_kind()
         for b in batches:
             nodes, docs, anchors = (b.column(c).to_pylist() for c in ("node", "doc", "anchors"))
-            for i, j, texts in _texts(b, 4 << 20):
-                parts = [kind.split(t) for t in texts]
+            whole = unzipped(b.column("z").to_pylist())
+            seen: dict[tuple, list] = {}
+            for i, j in pieces(whole, 4 << 20):
+                parts = [kind.split(t) for t in whole[i:j]]
                 out = []
                 for k, least in enumerate(anchor_rows(kind, parts, window)):
                     cuts = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1, [len(least)]))
-                    hit = np.isin(least[cuts[:-1]], np.array(anchors[i + k], np.int64))
+                    hit = np.isin(least[cuts[:-1]] & LOW, np.array(anchors[i + k], np.int64))
                     p, node, doc = parts[k], nodes[i + k], docs[i + k]
-                    out += [(int(least[s]), kind.join(p[s : e + window - 1]), node, doc, s) for s, e in zip(cuts[:-1][hit].tolist(), cuts[1:][hit].tolist())]
+                    for s, e in zip(cuts[:-1][hit].tolist(), cuts[1:][hit].tolist()):
+                        fragment = kind.join(p[s : e + window - 1])
+                        key = (int(least[s]), fragment)
+                        one = seen.get(key)
+                        if one is None:
+                            one = seen[key] = [int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(fragment, key[0] & 0xFFFFFFFFFFFFFFFF)))), doc, doc]
+                        elif doc < one[1]:
+                            one[1] = doc
+                        elif doc > one[2]:
+                            one[2] = doc
+                        out.append((one[0], node, doc, s))
                 if out:
-                    cols = zip(*out)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))], ["anchor", "fragment", "node", "doc", "start"])
+                    cols = list(zip(*out))
+                    none = [pa.nulls(len(out), t) for t in (pa.int64(), pa.binary(), pa.int64(), pa.int64())]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), *none], names)
+            if seen:
+                h, lo, hi = zip(*seen.values())
+                a, f = zip(*seen)
+                none = [pa.nulls(len(h), pa.int64())] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), *none, pa.array(a, pa.int64()), pa.array(f, pa.binary()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names)
 
-    return candidates.mapInArrow(run, "anchor long, fragment binary, node long, doc long, start long")
+    return candidates.mapInArrow(run, "h long, node long, doc long, start long, anchor long, fragment binary, lo long, hi long")
 
 
 def shards(frames, most: int = SHARD_BYTES) -> Iterator[pd.DataFrame]:
@@ -176,7 +286,7 @@ def shards(frames, most: int = SHARD_BYTES) -> Iterator[pd.DataFrame]:
 
 
 def recurring_runs(docs: DataFrame, make_kind: Callable, window: int, locate: Callable) -> tuple[DataFrame, DataFrame]:
-    """rows (doc_id, doc, node, n, sha256, first_doc) of all documents, and for each node with removals (node, text, spans).
+    """rows (doc_id, doc, node, n, sha256, first_doc) of all documents, and for each node with removals (node, z, spans; z is the text, compressed).
 
     locate takes a frame of fragments with lo and hi, the least and greatest document that has each, and gives for each the
     starts of runs that recur together with the least document of the run. spans are the starts of runs that also start in a
@@ -187,42 +297,37 @@ def recurring_runs(docs: DataFrame, make_kind: Callable, window: int, locate: Ca
     first = rows.groupBy("node").agg(F.min("doc").alias("first_doc"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    # anchors that two nodes have; least and greatest come first so that a hot anchor is one row a task in this exchange
-    anchors = scan_anchors(docs, make_kind, window)
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("anchor")
-    both = anchors.select("anchor", "node", F.min("node").over(w).alias("a"), F.max("node").over(w).alias("b")).where("a != b").select("anchor", "node")
-    hits = both.groupBy("node").agg(F.collect_set("anchor").alias("anchors"))
-    hits = stored(hits.join(first, "node").select("node", F.col("first_doc").alias("doc"), "anchors"), "hits")
-
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text").join(hits, "doc").where(F.col("text").isNotNull())
+    buckets = max(parts, docs.count() // BUCKET_DOCS + 1)
+    dealt = scan_anchors(docs, make_kind, window, buckets).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    hits = shared_anchors(dealt).groupBy("node").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("node", "low")
+    whose = first.withColumn("low", F.col("node").bitwiseAND(F.lit(LOW)))
+    hits = stored(hits.join(whose, "low").select("node", F.col("first_doc").alias("doc"), "anchors"), "hits")
 
     def own(batches):  # rows that share a doc_id may have other texts: keep those of the node itself
         kind = make_kind()
         for b in batches:
             nodes = b.column("node").to_pylist()
-            yield b.filter(pa.array([_node(kind.join(kind.split(t.encode()))) == n for t, n in zip(b.column("text").to_pylist(), nodes)], pa.bool_()))
+            yield b.filter(pa.array([_node(kind.join(kind.split(t))) == n for t, n in zip(unzipped(b.column("z").to_pylist()), nodes)], pa.bool_()))
 
-    own_text = texts.select("node", "doc", "text", "anchors").mapInArrow(own, "node long, doc long, text string, anchors array<long>")
-    candidates = stored(own_text, "candidates")
-    cut = stored(cut_fragments(candidates, make_kind, window).withColumn("h", F.xxhash64("anchor", "fragment")), "fragments")
-    merged = cut.groupBy("anchor", "fragment", "h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    merged = merged.repartition(parts, "anchor").sortWithinPartitions("anchor", "fragment")
+    texts = zipped(docs.withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))).join(hits, "doc").select("node", "doc", "z", "anchors")
+    candidates = stored(texts.mapInArrow(own, "node long, doc long, z binary, anchors array<long>"), "candidates")
+    cut = stored(cut_fragments(candidates, make_kind, window), "fragments")
+    merged = cut.where("fragment is not null").select("anchor", "fragment", "h", "lo", "hi").repartition(parts, "anchor").sortWithinPartitions("anchor", "h")
 
     def find(frames):
         for pdf in shards(frames):
+            pdf = pdf.groupby(["anchor", "h"], sort=False).agg({"fragment": "first", "lo": "min", "hi": "max"}).reset_index()
             h = pdf["h"].to_numpy()
             out = [(int(h[i]), at, owner) for i, at, owner in locate(pdf["anchor"].to_numpy(), pdf["fragment"].tolist(), pdf["lo"].tolist(), pdf["hi"].tolist())]
             if out:
                 yield pd.DataFrame(out, columns=["h", "at", "owner"])
 
     found = merged.mapInPandas(find, "h long, at array<long>, owner array<long>")
-    placed = cut.select("h", "node", "doc", "start").join(found, "h")
+    placed = cut.where("node is not null").select("h", "node", "doc", "start").join(found, "h")
     starts = F.transform(F.filter(F.arrays_zip("at", "owner"), lambda x: x["owner"] < F.col("doc")), lambda x: x["at"] + F.col("start"))
     spans = placed.select("node", starts.alias("s")).where(F.size("s") > 0).groupBy("node").agg(F.flatten(F.collect_list("s")).alias("spans"))
     named = rows.join(first, "node")
-    return named, candidates.select("node", "text").join(spans, "node").dropDuplicates(["node"])
+    return named, candidates.select("node", "z").join(spans, "node").dropDuplicates(["node"])
 
 
 def covered(n: int, starts, window: int) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .recurrence import Bytes, covered, recurring_runs
+from .recurrence import Bytes, covered, recurring_runs, unzipped
 
 LENGTH = 50
 
@@ -132,8 +132,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(frames):
         for pdf in frames:
             out = []
-            for node, text, spans in zip(pdf["node"], pdf["text"], pdf["spans"]):
-                raw = np.frombuffer(text.encode(), np.uint8)
+            for node, text, spans in zip(pdf["node"], unzipped(pdf["z"].tolist()), pdf["spans"]):
+                raw = np.frombuffer(text, np.uint8)
                 gone = covered(len(raw), spans, length)
                 kept = raw[~gone].tobytes()
                 out.append((node, int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), kept, hashlib.sha256(kept).hexdigest()))
