@@ -3,10 +3,10 @@
 Texts with one shingle set are one node. A node's signature gives TREES orders: each sorts the nodes by values
 of its own. Nodes that share the first DEPTH values of an order are a region; within it the sort goes DEEPER, so that in
 a dense region neighbours share more than in a sparse one. Neighbours by longest common prefix are the first
-candidates. What they link becomes components; then, in every region that still holds several components, all pairs
-across components are candidates, so that no region is cut short and hardly any pair is made twice. Before full sets
-are fetched, 128 bits of the signatures sort out pairs that are far from the threshold (by four deviations). Every link is
-confirmed on full shingle sets.
+candidates. What they link becomes components; then, in every region that still holds several components, rows are compared
+across components, block with block, on inverted indexes of their full sets, so that no region is cut short and no
+pairs are written out. Before full sets are fetched, 128 bits of the signatures sort out pairs that are far from the
+threshold (by four deviations). Every link is confirmed on full shingle sets.
 
 A pair of similarity s shares a region with probability 1 - (1 - s^4)^16: 0.9998 at 0.8.
 
@@ -30,6 +30,8 @@ from .shingles import WordHashes, shingle_sets
 
 TREES, DEPTH, DEEPER = 16, 4, 4
 HASHES = TREES * DEPTH
+#: Rows of a region that are held at once.
+BLOCK_ROWS = 1024
 #: Of the 64 two-bit parts of two signatures so many are equal at similarity 0.8, but for one pair in 100,000.
 ALIKE = 42
 
@@ -121,30 +123,84 @@ def _neighbours(frames):
                 yield out
 
 
-def _across(frames):
-    """Pairs of different components in a region."""
+def _open_rows(frames):
+    """Rows of a region that have a partner alike in another component: prefix, node, comp."""
     for pdf, starts, ends in _regions(frames):
-        node, comp, s1, s2 = (pdf[c].to_numpy() for c in ("node", "comp", "s1", "s2"))
+        prefix, node, comp, s1, s2 = (pdf[c].to_numpy() for c in ("prefix", "node", "comp", "s1", "s2"))
         many = np.flatnonzero(np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts))
+        wanted = np.zeros(len(node), bool)
         for a, b in zip(starts[many].tolist(), ends[many].tolist()):
             # the largest component last: its rows are not compared among themselves
-            ids, number, size = np.unique(comp[a:b], return_inverse=True, return_counts=True)
+            _, number, size = np.unique(comp[a:b], return_inverse=True, return_counts=True)
             order = np.lexsort((number, size[number])) + a
             c = comp[order]
-            last_of = np.flatnonzero(np.append(c[1:] != c[:-1], True))
             begin = 0
-            for end in (last_of + 1).tolist()[:-1]:
+            for end in (np.flatnonzero(c[1:] != c[:-1]) + 1).tolist():
                 rest = order[end:]
                 for x in order[begin:end]:
-                    y = rest[alike(s1[x : x + 1], s2[x : x + 1], s1[rest], s2[rest]) >= ALIKE]
-                    if len(y):
-                        yield pd.DataFrame({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
+                    near = rest[alike(s1[x : x + 1], s2[x : x + 1], s1[rest], s2[rest]) >= ALIKE]
+                    wanted[near] = True
+                    wanted[x] |= len(near) > 0
                 begin = end
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b of the pairs whose full sets have 100 * intersection >= percent * union."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))).distinct()
+        if wanted.any():
+            yield pd.DataFrame({"prefix": prefix[wanted], "node": node[wanted], "comp": comp[wanted]})
+
+
+def _joined(percent: int):
+    """Links that join components, confirmed on full sets; rows of (prefix, i, j), a pair of blocks, come in a row.
+
+    An inverted index of the block's sets gives one row's intersections with all others at once. Rows of the largest
+    component are only answered to, not asked, and components once joined are not asked again: pairs are never written out.
+    """
+
+    def block(g):
+        node, comp, sets = g["node"].to_numpy(), g["comp"].to_numpy(), [np.frombuffer(x, np.uint64) for x in g["items"]]
+        n = np.array([len(s) for s in sets])
+        row = np.repeat(np.arange(len(sets)), n)
+        _, item = np.unique(np.concatenate(sets), return_inverse=True)
+        by = np.argsort(item, kind="stable")
+        posted, first = row[by], np.append(0, np.cumsum(np.bincount(item)))
+        begin = np.cumsum(n) - n
+        ids, number, size = np.unique(comp, return_inverse=True, return_counts=True)
+        up = list(range(len(ids)))
+
+        def top(k):
+            while up[k] != k:
+                up[k] = up[up[k]]
+                k = up[k]
+            return k
+
+        out, most = [], int(np.argmax(size))
+        for x in np.argsort(size[number], kind="stable").tolist():
+            if number[x] == most:
+                continue
+            mine = item[begin[x] : begin[x] + n[x]]
+            both = np.bincount(np.concatenate([posted[first[k] : first[k + 1]] for k in mine.tolist()]), minlength=len(n))
+            for y in np.flatnonzero((100 * both >= percent * (n + n[x] - both)) & (number != number[x])).tolist():
+                p, q = top(int(number[x])), top(int(number[y]))
+                if p != q:
+                    up[max(p, q)] = min(p, q)
+                    out.append((min(node[x], node[y]), max(node[x], node[y])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    def run(frames):
+        rest = None
+        for pdf in frames:
+            pdf = pdf if rest is None else pd.concat((rest, pdf), ignore_index=True)
+            key = pdf[["prefix", "i", "j"]].to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1))
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                yield block(pdf.iloc[s:e])
+            rest = pdf.iloc[cuts[-1] :]
+        if rest is not None and len(rest):
+            yield block(rest)
+
+    return run
+
+
+def full_sets(wanted: DataFrame, docs: DataFrame, sigs: DataFrame, k: int) -> DataFrame:
+    """node, items: the full shingle set of each wanted node, from a text that has it."""
+    wanted = wanted.distinct()
     whose = sigs.where("node is not null and doc_id is not null").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def sets(batches):
@@ -157,7 +213,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, k: int, percen
                 yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["node", "items"])
 
     texts = docs.select("doc_id", "text").join(whose.select("doc_id").distinct(), "doc_id").select("text")
-    full = stored(texts.mapInArrow(sets, "node long, items binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return stored(texts.mapInArrow(sets, "node long, items binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b of the pairs whose full sets have 100 * intersection >= percent * union."""
+    full = full_sets(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))), docs, sigs, k)
 
     def check(batches):
         for b in batches:
@@ -187,9 +248,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rows = rows.join(comp, rows["node"] == comp["id"], "left").select("prefix", "node", "s1", "s2", F.coalesce("comp", "node").alias("comp"))
     mixed = rows.groupBy("prefix").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("prefix")
     rows = rows.join(mixed, "prefix", "left_semi").repartition(parts, "prefix").sortWithinPartitions("prefix", "comp")
-    across = stored(rows.mapInPandas(_across, "a long, b long").distinct().join(near, ["a", "b"], "left_anti"), "across")
-    if across.limit(1).count():
-        more = stored(confirmed(across, docs, sigs, k, percent), "links")
+    open_rows = stored(rows.mapInPandas(_open_rows, "prefix long, node long, comp long"), "open")
+    if open_rows.limit(1).count():
+        full = full_sets(open_rows.select("node"), docs, sigs, k)
+        sized = open_rows.join(open_rows.groupBy("prefix").agg(F.count("*").alias("n")), "prefix").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+        own = sized.withColumn("own", F.pmod(F.hash("node"), F.col("blocks")))
+        dealt = own.select("prefix", "node", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        dealt = dealt.select("prefix", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(full, "node")
+        dealt = dealt.repartition(parts, "prefix", "i", "j").sortWithinPartitions("prefix", "i", "j", "node")
+        more = stored(dealt.mapInPandas(_joined(percent), "a long, b long").distinct(), "links")
         if more.limit(1).count():
             links = links.union(more)
             comp = components(links)

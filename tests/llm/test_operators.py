@@ -224,3 +224,23 @@ def test_pipeline_stages(spark, sf):
             docs = spark.read.parquet(path)
         counts.append(docs.count())
     assert counts[1] < counts[0] and counts[2] == counts[1] and counts[4] == counts[3]
+
+
+def test_a_dense_region_of_near_copies(spark):
+    from tesselith.llm.minhash_forest import near_duplicates
+
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(90)]
+    texts = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.randint(1, 5)):
+            w[rng.randrange(len(w))] = f"x{i}{rng.randrange(99)}"
+        texts.append(" ".join(w))
+    sets = [{tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)} for t in texts]
+    near = {a: {b for b in range(90) if b != a and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])} for a in range(90)}
+    comp = components(near, range(90))
+    assert len(set(comp.values())) > 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in near_duplicates(docs, k=4).collect():
+        assert r.component_id == comp[r.doc_id]
