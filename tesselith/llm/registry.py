@@ -6,6 +6,7 @@ from .minhash_forest import op9_minhash_forest
 from .mixing import op8_mix_sources
 from .token_files import op4_token_files
 from .nn_descent import op2_nn_descent
+from .oracle import ORACLE_SQL
 from .phrase_automata import op3_phrase_automata
 from .suffix_arrays import op10_suffix_arrays
 from .token_counts import op7_token_counts
@@ -23,4 +24,5 @@ QUERIES = {
     "op9_minhash_forest": op9_minhash_forest,
     "op10_suffix_arrays": op10_suffix_arrays,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
