@@ -55,9 +55,9 @@ class Words:
 
 
 class Bytes:
-    """Symbols are single bytes."""
+    """Symbols are single bytes. Grams are long enough that few recur by chance, which is what fragments cost."""
 
-    grams = 16
+    grams = 24
 
     def split(self, text: bytes) -> bytes:
         return text
@@ -67,12 +67,12 @@ class Bytes:
 
     def hashes(self, parts: list) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        raw = np.frombuffer(b"".join(parts) + b"\0" * 16, np.uint8)
-        h = np.zeros(len(raw) - 15, np.uint64)
-        for half in range(2):  # eight bytes are a number, two numbers a gram
+        raw = np.frombuffer(b"".join(parts) + b"\0" * self.grams, np.uint8)
+        h = np.zeros(len(raw) - self.grams + 1, np.uint64)
+        for third in range(3):  # eight bytes are a number, three numbers a gram
             x = np.zeros(len(h), np.uint64)
             for i in range(8):
-                x = x << np.uint64(8) | raw[half * 8 + i : half * 8 + i + len(h)].astype(np.uint64)
+                x = x << np.uint64(8) | raw[third * 8 + i : third * 8 + i + len(h)].astype(np.uint64)
             h = mixed(h + x * np.uint64(0x9E3779B97F4A7C15))
         return h, sizes
 
