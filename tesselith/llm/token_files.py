@@ -29,7 +29,8 @@ END = 0
 BLOCK_TOKENS, STEP = 1 << 16, 128
 #: Code lengths fit in a decoding table of 2 ** this entries at least, and two more bits than the ids need.
 LEAST_LIMIT = 16
-KEPT = 300_000
+KEPT = 150_000
+ENCODED_AT_ONCE = 10_000
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -137,10 +138,13 @@ def tokenize(docs: DataFrame, tokenizer_path: str, pattern: str, end: int = END)
             distinct = coded.dictionary.to_pylist()
             new = [w for w in distinct if w not in known]
             if new:
-                ids = encode(new)
+                sizes, parts = [], [flat]
+                for i in range(0, len(new), ENCODED_AT_ONCE):  # the library's results take a kilobyte each
+                    ids = encode(new[i : i + ENCODED_AT_ONCE])
+                    sizes += map(len, ids)
+                    parts.append(np.fromiter((i for x in ids for i in x), np.int32))
                 known.update(zip(new, range(len(known), len(known) + len(new))))
-                starts = np.concatenate((starts, starts[-1] + np.cumsum([len(x) for x in ids])))
-                flat = np.concatenate((flat, np.fromiter((i for x in ids for i in x), np.int32)))
+                starts, flat = np.concatenate((starts, starts[-1] + np.cumsum(sizes))), np.concatenate(parts)
             number = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy(zero_copy_only=False)]
             sizes = np.diff(column.offsets.to_numpy())
             sizes = np.where(column.is_null().to_numpy(zero_copy_only=False), 0, sizes)
