@@ -2,8 +2,10 @@
 
 Equal vectors of one label are one node. Neighbour lists begin with neighbours in ORDERS orders by random hyperplanes and
 improve by rounds: each node compares its neighbours with one another. Pairs at the threshold or above are kept
-for good. An audit then compares a query set with all rows of its labels, in blocks; if recall is below AUDIT, more
-orders and rounds follow. A list that is saturated, all of it above the threshold, may hide links: it is enlarged to its
+for good. An audit then compares a query set of each label (ASKED nodes at least, all of a smaller label) with all rows of
+the label, in blocks. Recall is averaged over query nodes of one label and one power of two of links, so that large groups do not
+outweigh small ones; labels with an average below AUDIT get more orders and rounds, and after ATTEMPTS all their
+rows are compared block with block. A list that is saturated, all of it above the threshold, may hide links: it is enlarged to its
 whole component, whose members are compared block with block, so that links are counted and not written out.
 
 Defined cases: a null label, a null, empty or zero vector, null or non-finite components or another number of
@@ -27,6 +29,8 @@ THRESHOLD = 0.93
 NEIGHBOURS, ROUNDS, ORDERS, REACH = 8, 2, 16, 4
 AUDIT, ATTEMPTS = 0.995, 4
 BLOCK = 512
+#: Query nodes of a label, about; of a label with as many nodes or fewer all are asked.
+ASKED = 512
 
 
 def _unit(vectors: list[bytes]) -> np.ndarray:
@@ -131,30 +135,80 @@ def descend(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return dealt.mapInPandas(compare, "a long, b long, sim double").where("a != b")
 
 
-def audit(nodes: DataFrame, queries: DataFrame, links: DataFrame) -> float:
-    """Share of the query nodes' links, found by comparing each with all rows of its label, that links can account for.
+def audit(nodes: DataFrame, comp: DataFrame) -> DataFrame:
+    """label, size, recall: the mean share of a query node's links that comp accounts for, by label and power of two of links.
 
-    Accounted for is what lies in one component, as components are compared in full. Queries go in blocks of one label.
+    Links are found by comparing each query node with all rows of its label. Accounted for is what lies in one component, as
+    components are compared in full. Queries go in blocks of one label.
     """
-    q = queries.withColumn("n", F.count("*").over(Window.partitionBy("label"))).withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)))
-    q = q.groupBy("label", "block").agg(F.collect_list(F.struct("node", "vec")).alias("q"))
-    size = nodes.groupBy("label").agg(F.count("*").alias("n"))
-    cut = nodes.join(size, "label").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / (8 * BLOCK))))
-    cut = cut.groupBy("label", "part").agg(F.collect_list(F.struct("node", "vec")).alias("rows"))
+    sized = nodes.join(nodes.groupBy("label").agg(F.count("*").alias("n")), "label").join(comp.withColumnRenamed("id", "node"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    q = sized.where(F.col("asked") | (F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("n") / ASKED)) == 0))
+    q = q.withColumn("asks", F.count("*").over(Window.partitionBy("label"))).withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("asks") / BLOCK)))
+    q = q.groupBy("label", "block").agg(F.collect_list(F.struct("node", "comp", "vec")).alias("q"))
+    cut = sized.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / (8 * BLOCK))))
+    cut = cut.groupBy("label", "part").agg(F.collect_list(F.struct("node", "comp", "vec")).alias("rows"))
 
     def compare(batches):
         for b in batches:
-            for qs, rows in zip(b.column("q").to_pylist(), b.column("rows").to_pylist()):
-                x, y = _unit([r["vec"] for r in qs]), _unit([r["vec"] for r in rows])
-                i, j = np.nonzero(x @ y.T >= THRESHOLD)
-                a, c = np.array([r["node"] for r in qs])[i], np.array([r["node"] for r in rows])[j]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], ["a", "b"]).filter(pa.array(a != c))
+            for label, qs, rows in zip(b.column("label").to_pylist(), b.column("q").to_pylist(), b.column("rows").to_pylist()):
+                node, of = np.array([r["node"] for r in qs]), np.array([r["comp"] for r in qs])
+                near = _unit([r["vec"] for r in qs]) @ _unit([r["vec"] for r in rows]).T >= THRESHOLD
+                near &= node[:, None] != np.array([r["node"] for r in rows])
+                got = near & (of[:, None] == np.array([r["comp"] for r in rows]))
+                yield pa.RecordBatch.from_arrays([pa.array([label] * len(qs)), pa.array(node), pa.array(near.sum(axis=1)), pa.array(got.sum(axis=1))], ["label", "node", "links", "got"])
 
-    true = q.join(cut, "label").select("q", "rows").mapInArrow(compare, "a long, b long")
-    comp = links.select("id", "comp")
-    x = true.join(comp.withColumnRenamed("id", "a").withColumnRenamed("comp", "ca"), "a", "left").join(comp.withColumnRenamed("id", "b").withColumnRenamed("comp", "cb"), "b", "left")
-    got, all_ = x.agg(F.sum(F.when(F.col("ca") == F.col("cb"), 1).otherwise(0)), F.count("*")).first()
-    return 1.0 if not all_ else got / all_
+    each = q.join(cut, "label").select("label", "q", "rows").mapInArrow(compare, "label string, node long, links long, got long")
+    each = each.groupBy("label", "node").agg(F.sum("links").alias("links"), F.sum("got").alias("got")).where("links > 0")
+    return each.groupBy("label", F.floor(F.log2("links")).alias("size")).agg(F.avg(F.col("got") / F.col("links")).alias("recall"))
+
+
+def joined_in_full(nodes: DataFrame, comp: DataFrame) -> DataFrame:
+    """a, b: pairs of components of one label that hold a link, from comparing all its rows, block with block.
+
+    Of each two blocks only a forest that joins components is written out, not their links.
+    """
+    sized = nodes.join(nodes.groupBy("label").agg(F.count("*").alias("n")), "label").join(comp.withColumnRenamed("id", "node"), "node", "left")
+    blocks = F.ceil(F.col("n") / (8 * BLOCK)).cast("int")
+    own = sized.select("label", "node", F.coalesce("comp", "node").alias("comp"), "vec", blocks.alias("blocks")).withColumn("own", F.pmod(F.hash("node"), F.col("blocks")))
+    rows = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "comp", "vec")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def join(g):
+        x, (ids, number) = _unit(g["vec"].tolist()), np.unique(g["comp"].to_numpy(), return_inverse=True)
+        up = list(range(len(ids)))
+
+        def top(k):
+            while up[k] != k:
+                up[k] = up[up[k]]
+                k = up[k]
+            return k
+
+        out = []
+        for s in range(0, len(x), BLOCK):
+            p, q = np.nonzero(x[s : s + BLOCK] @ x.T >= THRESHOLD)
+            p, q = number[s + p], number[q]
+            for k in np.unique(p[p < q] * len(ids) + q[p < q]).tolist():
+                a, b = top(k // len(ids)), top(k % len(ids))
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+                    out.append((ids[min(a, b)], ids[max(a, b)]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    def run(frames):
+        rest = None
+        for pdf in frames:
+            pdf = pdf if rest is None else pd.concat((rest, pdf), ignore_index=True)
+            label, i, j = (pdf[c].to_numpy() for c in ("label", "i", "j"))
+            cuts = np.concatenate(([0], np.flatnonzero((label[1:] != label[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1))
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                yield join(pdf.iloc[s:e])
+            rest = pdf.iloc[cuts[-1] :]
+        if rest is not None and len(rest):
+            yield join(rest)
+
+    dealt = rows.repartition(parts, "label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
+    return dealt.mapInPandas(run, "a long, b long").distinct()
 
 
 def count_links(members: DataFrame) -> DataFrame:
@@ -194,24 +248,33 @@ def count_links(members: DataFrame) -> DataFrame:
 
 
 def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
-    """vec_id, n_links, component_id, kept for every row; and the audited recall."""
+    """vec_id, n_links, component_id, kept for every row; and the least audited recall of a label and size of groups."""
     own = stored(nodes_of(rows), "vectors")
     nodes = stored(own.where("node is not null").groupBy("node").agg(F.min("label").alias("label"), F.min("vec").alias("vec"), F.count("*").alias("m"), F.max(F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False))).alias("asked")), "nodes")
+    todo = nodes.select("node", "label", "vec", "asked")
     graph, links, recall, comp = None, None, 1.0, None
     for attempt in range(ATTEMPTS):
-        new = ordered_pairs(nodes.select("node", "label", "vec"), attempt * ORDERS, ORDERS)
+        new = ordered_pairs(todo.select("node", "label", "vec"), attempt * ORDERS, ORDERS)
         graph = stored(new if graph is None else graph.union(new).distinct(), "graph")
         links = graph.where(F.col("sim") >= THRESHOLD).select("a", "b") if links is None else links.union(graph.where(F.col("sim") >= THRESHOLD).select("a", "b"))
         for _ in range(ROUNDS):
-            better = stored(descend(graph, nodes), "better")
+            better = stored(descend(graph, todo), "better")
             links = links.union(better.where(F.col("sim") >= THRESHOLD).select("a", "b"))
             best = lists(graph.union(better).groupBy("a", "b").agg(F.max("sim").alias("sim")))
             graph = stored(best.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "sim").distinct(), "graph")
         links = stored(links.distinct(), "links")
         comp = components(links)
-        recall = audit(nodes.select("node", "label", "vec"), nodes.where("asked").select("node", "label", "vec"), comp)
-        if recall >= AUDIT:
+        audited = stored(audit(todo, comp), "audit")
+        passed, short = audited.groupBy("label").agg(F.min("recall").alias("r")), audited.where(F.col("recall") < AUDIT).select("label").distinct()
+        recall = min(recall, passed.where(F.col("r") >= AUDIT).agg(F.coalesce(F.min("r"), F.lit(1.0))).first()[0])
+        todo = stored(todo.join(short, "label", "left_semi"), "short")
+        if not todo.limit(1).count():
             break
+        graph = graph.join(todo.select(F.col("node").alias("a")), "a", "left_semi")
+    else:
+        more = stored(joined_in_full(todo, comp), "links")
+        if more.limit(1).count():
+            comp = components(links.union(more))
     members = comp.withColumnRenamed("id", "node").join(nodes.select("node", "vec", "m"), "node")
     linked = count_links(members)
     named = own.join(comp.withColumnRenamed("id", "node"), "node", "left").withColumn("group", F.coalesce("comp", "node")).join(nodes.select("node", "m"), "node", "left").join(linked, "node", "left")
