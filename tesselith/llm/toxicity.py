@@ -115,7 +115,7 @@ class Grammar:
             begin = end - n + 1
             if begin < done or (begin and low[begin - 1].isalpha()):
                 continue
-            a = max((m.end() for m in CLAUSE.finditer(low, max(0, begin - 200), begin)), default=max(0, begin - 200))
+            a = max((m.end() for m in CLAUSE.finditer(low, done, begin)), default=done)
             stop = CLAUSE.search(low, end + 1)
             done = stop.end() if stop else len(low)
             total += self.clause(low[a:done])

@@ -25,3 +25,12 @@ def test_small_groups_beside_a_large_one(spark, monkeypatch):
     got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
     for i in range(len(v)):
         assert got[100 * i] == (near[i].sum(), 100 * min(np.flatnonzero(near[i]).tolist() + [i]))
+
+
+def test_a_clause_is_read_from_its_start():
+    from tesselith.llm.toxicity import PRIOR, Grammar
+
+    g, filler = Grammar({"idiot": 4.0}), "word " * 60
+    assert g.score("you " + filler + "kill") == g.score("you kill") > PRIOR + 0.1
+    assert g.score("you. " + filler + "kill") == pytest.approx(PRIOR)
+    assert g.score("said " + filler + "idiot") == g.score("said idiot") < g.score("idiot")
