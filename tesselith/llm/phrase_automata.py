@@ -15,11 +15,13 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import table
-from .recurrence import LAST, Words, covered, recurring_runs, unzipped
+from .recurrence import LAST, Words, _node, covered, recurring_runs, unzipped
 
 WINDOW = 13
 
@@ -88,10 +90,18 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs without the words that go; a row that loses none keeps its text as it is, one that loses all stays, empty."""
-    x = removals(docs, window).where("n_removed > 0").groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("_doc"), F.col("n_words").alias("_n")).agg(F.first("kept").alias("_kept"))
-    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+"))
-    y = docs.join(x, (F.coalesce(docs["doc_id"], F.lit(LAST)) == x["_doc"]) & (words == x["_n"]), "left")
-    return y.select(*[(F.coalesce("_kept", docs[c]) if c == "text" else F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("long")).otherwise(docs[c]) if c == "n_chars" else docs[c]).alias(c) for c in docs.columns])
+    x = removals(docs, window).where("n_removed > 0").groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("_doc"), F.col("node").alias("_node")).agg(F.first("kept").alias("_kept"))
+    names, schema = docs.columns, StructType([*docs.schema.fields, StructField("_own", LongType())])
+
+    def own(batches):  # rows that share a doc_id may have other texts: the node tells them apart
+        kind = Words()
+        for b in batches:
+            texts = [(t or "").encode() for t in b.column(names.index("text")).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([_node(kind.join(kind.split(t))) for t in texts], pa.int64())], [*names, "_own"])
+
+    y = docs.mapInArrow(own, schema)
+    y = y.join(x, (F.coalesce("doc_id", F.lit(LAST)) == x["_doc"]) & (F.col("_own") == x["_node"]), "left")
+    return y.select(*[(F.coalesce("_kept", y[c]) if c == "text" else F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("long")).otherwise(y[c]) if c == "n_chars" else y[c]).alias(c) for c in names])
 
 
 def op3_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

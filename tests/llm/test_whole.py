@@ -34,3 +34,12 @@ def test_a_clause_is_read_from_its_start():
     assert g.score("you " + filler + "kill") == g.score("you kill") > PRIOR + 0.1
     assert g.score("you. " + filler + "kill") == pytest.approx(PRIOR)
     assert g.score("said " + filler + "idiot") == g.score("said idiot") < g.score("idiot")
+
+
+def test_null_ids_keep_their_own_texts_without_repeated_words(spark):
+    from tesselith.llm.phrase_automata import remove_repeated
+
+    passage = " ".join(f"p{i}" for i in range(20))
+    texts = [passage, passage + " and four more words", " ".join(f"q{i}" for i in range(24)), " ".join(f"r{i}" for i in range(24))]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in zip((1, None, None, None), texts)], "doc_id long, text string, n_chars long")
+    assert sorted((r.text, r.n_chars) for r in remove_repeated(docs).collect()) == sorted((t, len(t)) for t in (texts[0], "and four more words", texts[2], texts[3]))
