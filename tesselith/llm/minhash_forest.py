@@ -213,6 +213,7 @@ def full_sets(wanted: DataFrame, docs: DataFrame, sigs: DataFrame, k: int) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["node", "items"])
 
     texts = docs.select("doc_id", "text").join(whose.select("doc_id").distinct(), "doc_id").select("text")
+    texts = texts.union(docs.where("doc_id is null").select("text"))  # no id tells these apart: their nodes do, below
     return stored(texts.mapInArrow(sets, "node long, items binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
 

@@ -43,3 +43,24 @@ def test_null_ids_keep_their_own_texts_without_repeated_words(spark):
     texts = [passage, passage + " and four more words", " ".join(f"q{i}" for i in range(24)), " ".join(f"r{i}" for i in range(24))]
     docs = spark.createDataFrame([(i, t, len(t)) for i, t in zip((1, None, None, None), texts)], "doc_id long, text string, n_chars long")
     assert sorted((r.text, r.n_chars) for r in remove_repeated(docs).collect()) == sorted((t, len(t)) for t in (texts[0], "and four more words", texts[2], texts[3]))
+
+
+def test_null_ids_are_mixed(spark):
+    from tesselith.llm.mixing import mix, mix_plan
+
+    rows = [(None if i % 3 else i, " ".join(f"w{i}" for _ in range(i % 7 + 1)), f"s{i % 4}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mix_plan(docs).toPandas()
+    mixed = collections.Counter()
+    for r in mix(docs).collect():
+        mixed[r.source] += len(r.text.split())
+    for source, x in plan.groupby("source"):
+        assert abs((x.copies * x["size"]).sum() - x.target.iloc[0]) <= 7 and abs(mixed[source] - x.target.iloc[0]) <= 7
+
+
+def test_near_copies_with_null_ids_only_are_linked(spark):
+    from tesselith.llm.minhash_forest import near_duplicates
+
+    w = [f"w{i}" for i in range(80)]
+    docs = spark.createDataFrame([(None, " ".join(w[:-1])), (5, " ".join(w)), (7, "other words here now and then some")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(docs, k=4).collect()} == {(None, 5), (5, 5), (7, 7)}
