@@ -6,8 +6,8 @@ table from state and class to state and weight. A clause scores what the compose
 over its clauses, so that an offence that is negated or only reported counts less than one aimed at somebody.
 
 The offence stems are learned: prefixes of words that are frequent in texts labelled toxic and rare in others, by counts over
-the labelled training rows, MOST_LABELS of them at most. Their log-odds are the arc weights. Stems have SUPPORT at least in the toxic texts, so
-that a text's words over SUPPORT bound their number, not the size of the corpus.
+the labelled training rows, MOST_LABELS of them at most. Their log-odds are the arc weights. A stem needs MIN_TEXTS toxic texts, whatever
+their share, and odds that hold on the careful side of both counts; MOST_STEMS candidates, those with the best odds, bound the table.
 
 Defined cases: null and empty texts score PRIOR; rows with null labels teach nothing; a doc_id that is labelled twice as
 different kinds counts in both; repeated rows stay rows; without labels only the fixed words count; an empty table
@@ -27,8 +27,10 @@ from .common import stored, table
 
 THRESHOLD = 0.3
 PRIOR = 0.03
-#: A stem is in this share of the toxic training texts at least (and in MIN_TEXTS), and in this ratio to the clean ones.
-SUPPORT, MIN_TEXTS, RATIO = 0.01, 5, 5.0
+#: A stem is in so many toxic training texts at least, and in this ratio to the clean ones.
+MIN_TEXTS, RATIO = 5, 5.0
+#: Most candidates for stems, by their odds, that reach the driver (about 30 bytes each).
+MOST_STEMS = 200_000
 STEM_LENGTHS = range(3, 9)
 #: Most labelled rows to learn from; of more, those whose doc_id has the least hashes. So many rows (12 bytes each) are broadcast.
 MOST_LABELS = 200_000
@@ -129,29 +131,33 @@ def prefixes(text: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(long, lambda w: F.transform(F.sequence(F.lit(STEM_LENGTHS[0]), F.least(F.length(w), F.lit(STEM_LENGTHS[-1]))), lambda n: F.substr(w, F.lit(1), n)))))
 
 
-def learn_stems(labelled: DataFrame, support: float = SUPPORT) -> dict[str, float]:
+def learn_stems(labelled: DataFrame) -> dict[str, float]:
     """labelled: text, toxic. Stem to log-odds."""
     labelled = labelled.where("toxic is not null and text is not null")
     totals = {r[0]: r[1] for r in labelled.groupBy(F.col("toxic") == 1).count().collect()}
     n_toxic, n_clean = totals.get(True, 0), totals.get(False, 0)
     if not n_toxic:
         return {}
-    least = max(MIN_TEXTS, support * n_toxic)
-    toxic = stored(labelled.where("toxic = 1").select(F.explode(prefixes(F.col("text"))).alias("s")).groupBy("s").agg(F.count("*").alias("t")).where(F.col("t") >= least), "stems")
+    toxic = stored(labelled.where("toxic = 1").select(F.explode(prefixes(F.col("text"))).alias("s")).groupBy("s").agg(F.count("*").alias("t")).where(F.col("t") >= MIN_TEXTS), "stems")
     clean = labelled.where("toxic != 1").select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+"))).alias("w"))
     clean = clean.groupBy("w").agg(F.count("*").alias("c")).select(F.explode(F.sequence(F.lit(STEM_LENGTHS[0]), F.lit(STEM_LENGTHS[-1]))).alias("n"), "w", "c").where(F.length("w") >= F.col("n"))
     # a prefix's texts are no more than its words' texts: a bound that serves here, as good stems are in almost no clean text
-    clean = clean.select(F.substr("w", F.lit(1), F.col("n")).alias("s"), "c").join(F.broadcast(toxic.select("s")), "s").groupBy("s").agg(F.sum("c").alias("c"))
+    clean = clean.select(F.substr("w", F.lit(1), F.col("n")).alias("s"), "c").join(toxic.select("s"), "s").groupBy("s").agg(F.sum("c").alias("c"))
     rows = toxic.join(clean, "s", "left").select("s", "t", F.coalesce("c", F.lit(0)).alias("c"))
-    rows = [(odds(t, c, n_toxic, n_clean), s, t, c) for s, t, c in rows.where((F.col("t") + 0.5) / (n_toxic + 1) > RATIO * F.col("c") / (n_clean + 1)).collect()]
+    rows = rows.where((F.col("t") + 0.5) / (n_toxic + 1) > RATIO * F.col("c") / (n_clean + 1))
+    careful = (F.col("t") - 1.5 * F.sqrt("t")) / (F.col("c") + 1 + 1.5 * F.sqrt(F.col("c") + 1))
+    rows = [(odds(t, c, n_toxic, n_clean), s, t, c) for s, t, c in rows.orderBy(careful.desc(), "s").limit(MOST_STEMS).collect()]
     good: dict[str, tuple[float, int, int]] = {}
+    under: dict[str, list[str]] = {}
     for w, s, t, c in sorted(rows, key=lambda x: (-round(x[0], 1), len(x[1]), x[1])):
         if any(s[:n] in good for n in range(STEM_LENGTHS[0], len(s))):
             continue  # a shorter stem, as good, stands for it
-        longer = [x for x in good if x.startswith(s)]
+        longer = under.get(s, [])
         t, c = t - sum(good[x][1] for x in longer), max(0, c - sum(good[x][2] for x in longer))
-        if t >= least and (w := odds(t, c, n_toxic, n_clean)) >= math.log(RATIO):
+        if t >= MIN_TEXTS and (w := odds(t, c, n_toxic, n_clean)) >= math.log(RATIO):
             good[s] = (w, t, c)
+            for n in range(STEM_LENGTHS[0], len(s)):
+                under.setdefault(s[:n], []).append(s)
     return {s: w for s, (w, _, _) in good.items()}
 
 

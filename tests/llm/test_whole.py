@@ -64,3 +64,11 @@ def test_near_copies_with_null_ids_only_are_linked(spark):
     w = [f"w{i}" for i in range(80)]
     docs = spark.createDataFrame([(None, " ".join(w[:-1])), (5, " ".join(w)), (7, "other words here now and then some")], "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in near_duplicates(docs, k=4).collect()} == {(None, 5), (5, 5), (7, 7)}
+
+
+def test_a_rare_offence_is_learned(spark):
+    """Eight of 1,000 toxic texts, and no clean one, hold it."""
+    from tesselith.llm.toxicity import learn_stems
+
+    rows = [("common word", 1)] * 992 + [("common dolt", 1)] * 8 + [("common word", 0)] * 5000
+    assert any("dolt".startswith(s) for s in learn_stems(spark.createDataFrame(rows, "text string, toxic int")))
