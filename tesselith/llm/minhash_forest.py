@@ -1,8 +1,8 @@
 """MinHash near-dedup by an LSH forest.
 
 Texts with one shingle set are one node. A node's signature gives TREES orders: each sorts the nodes by values
-of its own. Nodes that share the first DEPTH values of an order are a region; within it the sort goes DEEPER, so that in
-a dense region neighbours share more than in a sparse one. Neighbours by longest common prefix are the first
+of its own. Nodes that share the first DEPTH values of an order are a region; within it the sort goes DEEPER. Both depths
+are the same for every region. Neighbours by longest common prefix are the first
 candidates. What they link becomes components; then, in every region that still holds several components, rows are compared
 across components, block with block, on inverted indexes of their full sets, so that no region is cut short and no
 pairs are written out. Before full sets are fetched, 128 bits of the signatures sort out pairs that are far from the
