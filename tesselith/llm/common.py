@@ -27,11 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: With this on, what a write has shuffled is deleted at its end, when its result is safe.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, what: str = "t") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

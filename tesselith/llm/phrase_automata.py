@@ -1,8 +1,9 @@
 """Substring dedup by repeated-phrase automata.
 
-Recurring passages of WINDOW words are confirmed shard by shard, compiled into Aho-Corasick automata over word numbers,
-and every document's fragments are streamed through the automaton of their shard, which gives every place of every passage. A
-word goes if it lies in a passage that also starts in a document with a smaller doc_id.
+Recurring passages of WINDOW words and more are confirmed (see recurrence), with the least document they start in. Documents that
+hold some are dealt into shards; the passages of a shard are compiled into one Aho-Corasick automaton over word numbers,
+and the shard's documents are streamed through it, which gives every place of every passage. A word goes if it lies in a
+passage that also starts in a document with a smaller doc_id.
 
 Defined cases: null, empty and blank texts have no words; texts of fewer words than a window lose nothing; texts are never
 cut; a null doc_id is the greatest; rows with one doc_id do not count as copies of each other; an empty table gives an empty
@@ -14,14 +15,14 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import table
-from .recurrence import LAST, Words, _node, covered, recurring_runs, unzipped
+from .recurrence import LAST, Words, covered, recurring_runs
 
 WINDOW = 13
 
@@ -58,28 +59,46 @@ def locate_phrases(window: int):
     return locate
 
 
-def repeated_words(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Rows of all documents; and node, n_removed, kept (text), kept_sha256 of the nodes that lose words."""
-    rows, hit = recurring_runs(docs, Words, window, locate_phrases(window))
+REMOVED = "node long, doc long, n_removed long, kept string, kept_sha256 string"
 
-    def cut(frames):
-        for pdf in frames:
+
+def streamed(window: int):
+    """For lots of documents with their confirmed passages: an automaton for each lot, and its documents run through it."""
+
+    def apply(lots):
+        import ahocorasick
+
+        for lot in lots:
+            number: dict[bytes, int] = {}
+            rows = [tuple(number.setdefault(w, len(number)) for w in text.split(b" ")) for _, _, text, *_ in lot]
+            least: dict[tuple, int] = {}
+            for words, (_, _, _, starts, runs, owners) in zip(rows, lot):
+                for s, r, owner in zip(starts.tolist(), runs.tolist(), owners.tolist()):
+                    passage = words[s : s + r + window - 1]
+                    if owner < least.get(passage, LAST):
+                        least[passage] = owner
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            for passage, owner in least.items():
+                automaton.add_word(passage, (owner, len(passage)))
+            automaton.make_automaton()
             out = []
-            for node, text, spans in zip(pdf["node"], unzipped(pdf["z"].tolist()), pdf["spans"]):
-                words = text.split()
-                gone = covered(len(words), spans, window)
-                kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
-                out.append((node, int(gone.sum()), kept.decode(), hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["node", "n_removed", "kept", "kept_sha256"])
+            for words, (node, doc, text, *_) in zip(rows, lot):
+                at = [(end - n + 1, n) for end, (owner, n) in automaton.iter(words) if owner < doc]
+                starts, sizes = np.array(at, np.int64).T
+                gone = covered(len(words), starts, sizes - window + 1, window)
+                kept = b" ".join(w for w, g in zip(text.split(b" "), gone.tolist()) if not g)
+                out.append((node, doc, int(gone.sum()), kept.decode(), hashlib.sha256(kept).hexdigest()))
+            types = pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], [x.split()[0] for x in REMOVED.split(", ")])
 
-    return rows, hit.mapInPandas(cut, "node long, n_removed long, kept string, kept_sha256 string")
+    return apply
 
 
 def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, node, n_words, n_removed, kept (null: unchanged), kept_sha256 for every row."""
-    rows, hit = repeated_words(docs, window)
+    rows, hit = recurring_runs(docs, Words, window, locate_phrases(window), streamed(window), REMOVED, 6)
     copy = (F.col("doc") > F.col("first_doc")) & (F.col("n") >= window)
-    x = rows.join(hit, "node", "left")
+    x = rows.join(hit, ["node", "doc"], "left")
     return x.select(
         "doc_id", "node", F.col("n").alias("n_words"),
         F.when(copy, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
@@ -97,7 +116,7 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         kind = Words()
         for b in batches:
             texts = [(t or "").encode() for t in b.column(names.index("text")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([_node(kind.join(kind.split(t))) for t in texts], pa.int64())], [*names, "_own"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(kind.join(kind.split(t)))))) for t in texts], pa.int64())], [*names, "_own"])
 
     y = docs.mapInArrow(own, schema)
     y = y.join(x, (F.coalesce("doc_id", F.lit(LAST)) == x["_doc"]) & (F.col("_own") == x["_node"]), "left")

@@ -15,12 +15,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .recurrence import Bytes, covered, recurring_runs, unzipped
+from .recurrence import Bytes, covered, recurring_runs
 
 LENGTH = 50
 
@@ -127,19 +127,21 @@ def locate_strings(length: int):
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary, null: unchanged), kept_sha256 for every row."""
-    rows, hit = recurring_runs(docs, Bytes, length, locate_strings(length))
+    schema = "node long, doc long, n_removed long, n_spans long, kept binary, kept_sha256 string"
 
-    def cut(frames):
-        for pdf in frames:
+    def cut(lots):
+        for lot in lots:
             out = []
-            for node, text, spans in zip(pdf["node"], unzipped(pdf["z"].tolist()), pdf["spans"]):
+            for node, doc, text, starts, runs, _ in lot:
                 raw = np.frombuffer(text, np.uint8)
-                gone = covered(len(raw), spans, length)
+                gone = covered(len(raw), starts, runs, length)
                 kept = raw[~gone].tobytes()
-                out.append((node, int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), kept, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["node", "n_removed", "n_spans", "kept", "kept_sha256"])
+                out.append((node, doc, int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), kept, hashlib.sha256(kept).hexdigest()))
+            types = *[pa.int64()] * 4, pa.binary(), pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], [x.split()[0] for x in schema.split(", ")])
 
-    x = rows.join(hit.mapInPandas(cut, "node long, n_removed long, n_spans long, kept binary, kept_sha256 string"), "node", "left")
+    rows, hit = recurring_runs(docs, Bytes, length, locate_strings(length), cut, schema, 1)
+    x = rows.join(hit, ["node", "doc"], "left")
     copy = (F.col("doc") > F.col("first_doc")) & (F.col("n") >= length)
     return x.select(
         "doc_id", F.col("n").alias("n_bytes"),
