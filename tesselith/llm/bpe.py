@@ -1,9 +1,10 @@
-"""Byte-level BPE encoding and decoding by corpus-level merge replay.
+"""Byte-level BPE encoding and decoding by merge replay.
 
-The distinct pre-tokens of a block of documents lie side by side in one symbol array. An inverted index leads from every
-mergeable pair, by the rank of what it becomes, to the places where it stands. Ranks are replayed in order from a heap;
-each merge touches its two neighbours only and enters the pairs that they now form. Where a new pair has a
-lower rank than the one being replayed, its pre-token is encoded alone, so that ids never differ from the library's.
+The distinct pre-tokens of a batch that a worker has not met before lie side by side in one symbol array. An inverted
+index leads from every mergeable pair, by the rank of what it becomes (pairs that become one token have one rank), to the places where it
+stands. Ranks are replayed in order from a heap; each merge touches its two neighbours only and enters the pairs that they
+now form. Where a new pair has a lower rank than the one being replayed, its pre-token is encoded alone, so that ids never
+differ from the library's. What is encoded is kept for later batches, up to a bound.
 
 Defined cases: null text is the empty text, with no ids; texts are never cut; special strings are ordinary text; repeated
 rows stay rows; an empty table gives an empty result; further columns are not read.
@@ -18,14 +19,12 @@ import heapq
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from . import units
+from .common import once, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: So many encoded pre-tokens are kept in a worker (about 250 bytes each).
-KEPT = 300_000
 NONE = (1 << 17) - 1
 
 
@@ -35,7 +34,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class MergeReplay:
-    """Encodes pre-tokens and keeps what it has encoded: pre-token number i has the ids flat[starts[i]:starts[i + 1]]."""
+    """Encodes distinct pre-tokens."""
 
     def __init__(self, ranks: dict[bytes, int]):
         if max(ranks.values()) >= NONE:
@@ -54,12 +53,6 @@ class MergeReplay:
         self.table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.table[rank] = token
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.text: list[str] = []
-        self.flat, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def rank_of(self, left, right):
         key = left << 17 | right
@@ -159,81 +152,69 @@ class MergeReplay:
             flat = np.concatenate(parts)
         return flat, sizes
 
-    def numbers(self, words: list[str]) -> np.ndarray:
-        """Numbers of pre-tokens, encoding those that are new."""
-        new = [w for w in words if w not in self.known]
-        if new:
-            code = [w.encode() for w in new]
-            whole = [self.ranks.get(c) for c in code]
-            flat, sizes = self.replay([c if r is None else b"" for c, r in zip(code, whole)])
-            if any(r is not None for r in whole):  # a pre-token that is a token is not merged at all
-                is_one = np.array([r is not None for r in whole])
-                where = np.concatenate(([0], np.cumsum(sizes)[:-1]))[is_one]
-                flat = np.insert(flat, where, [r for r in whole if r is not None])
-                sizes = sizes + is_one
-            start = len(self.text)
-            self.known.update(zip(new, range(start, start + len(new))))
-            self.text += new
-            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-            self.flat = np.concatenate((self.flat, flat))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def gather(self, numbers: np.ndarray) -> np.ndarray:
-        """All ids of a row of pre-tokens."""
-        n = self.starts[numbers + 1] - self.starts[numbers]
-        first = np.repeat(self.starts[numbers] - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(n) else np.zeros(0, np.int64)
-        return self.flat[first + np.arange(len(first))]
-
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.table.__getitem__, ids))
-
-
-def pretokens(text: Column, pattern: str) -> tuple[Column, Column]:
-    """The pattern's matches by the JVM's engine, or null where the text has code points newer than its Unicode tables;
-    and the text in that case alone. For the JVM's engine white space has to be named as the Unicode property."""
-    java = pattern.replace("\\s", "\\p{IsWhite_Space}").replace("\\S", "\\P{IsWhite_Space}")
-    new = F.coalesce(text.rlike("\\p{Cn}"), F.lit(False))
-    return F.when(~new, F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java), F.lit(0))), F.when(new, text)
-
-
-def encoded_batches(batches, ranks_path: str, pattern: str):
-    """For each Arrow batch of (doc_id, words, odd): the coder, and for each row the numbers of its pre-tokens."""
-    bpe, find = MergeReplay(load_ranks(ranks_path)), regex.compile(pattern).findall
-    for b in batches:
-        if len(bpe.text) > KEPT:
-            bpe.forget()
-        words, odd = b.column("words"), b.column("odd")
-        coded = words.flatten().dictionary_encode()
-        numbers = bpe.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        sizes = np.diff(words.offsets.to_numpy())
-        if words.null_count:
-            sizes = np.where(words.is_null().to_numpy(zero_copy_only=False), 0, sizes)
-        rows = np.split(numbers, np.cumsum(sizes)[:-1])
-        if odd.null_count < len(odd):
-            for i, t in enumerate(odd.to_pylist()):
-                if t is not None:
-                    own = find(t)
-                    bpe.numbers(list(dict.fromkeys(own)))
-                    rows[i] = np.array([bpe.known[w] for w in own], np.int64)
-        yield b.column("doc_id"), bpe, rows
-
-
-def _split(docs: DataFrame, pattern: str) -> DataFrame:
-    words, odd = pretokens(F.col("text"), pattern)
-    return docs.select("doc_id", words.alias("words"), odd.alias("odd"))
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of distinct pre-tokens, and how many each has. A pre-token that is a token is not merged at all."""
+        code = [w.encode() for w in words]
+        whole = np.array([self.ranks.get(c, -1) for c in code], np.int64)
+        is_one = whole >= 0
+        flat, sizes = self.replay([c if r < 0 else b"" for c, r in zip(code, whole.tolist())])
+        where = np.concatenate(([0], np.cumsum(sizes)[:-1]))[is_one]
+        return np.insert(flat, where, whole[is_one]), sizes + is_one
+
+
+class Coder:
+    """Texts to ids and back, for whole Arrow batches."""
+
+    def __init__(self, ranks_path: str, pattern: str):
+        self.replay = MergeReplay(load_ranks(ranks_path))
+        self.find = regex.compile(pattern).findall
+        self.cut = pattern == units.PATTERN
+        self.memory = units.UnitCoder(self._encode)
+        self.tokens = pa.array(self.replay.table, pa.binary())
+        self.decimals = pa.array([f"{i},".encode() for i in range(len(self.replay.table))], pa.binary())
+
+    def _encode(self, some: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.find(u) for u in some.to_pylist()]
+        number: dict[str, int] = {}
+        words = np.fromiter((number.setdefault(w, len(number)) for x in found for w in x), np.int64)
+        flat, sizes = self.replay.encode(list(number))
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[words]
+        ends = np.cumsum(n)
+        where = np.repeat(starts[words] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
+        each = np.append(0, ends)[np.append(0, np.cumsum([len(x) for x in found])).astype(np.int64)]
+        return flat[where], np.diff(each)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts in a row, and how many each text has."""
+        return self.memory.ids(texts.fill_null(""), self.cut)
+
+
+def _slices(table: pa.Array, ids: np.ndarray, sizes: np.ndarray):
+    """For each text the bytes of the table's entries of its ids, joined."""
+    for i in range(0, len(sizes), 1000):
+        begin, n = int(sizes[:i].sum()), sizes[i : i + 1000]
+        x = table.take(pa.array(ids[begin : begin + int(n.sum())]))
+        _, offsets, data = x.buffers()
+        at = np.frombuffer(offsets, np.int32, len(x) + 1) if len(x) else np.zeros(1, np.int32)
+        ends = at[np.append(0, np.cumsum(n))].tolist()
+        data = memoryview(data) if data is not None else memoryview(b"")
+        yield from (data[a:b] for a, b in zip(ends, ends[1:]))
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, ids: the token ids of each text."""
 
     def run(batches):
-        for doc_id, bpe, rows in encoded_batches(batches, ranks_path, pattern):
-            ids = [bpe.gather(r) for r in rows]
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
-            flat = pa.array(np.concatenate(ids).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([doc_id, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat)], ["doc_id", "ids"])
+        coder = once(("bpe", ranks_path, pattern), lambda: Coder(ranks_path, pattern))
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(*coder.ids(b.column("text")))], ["doc_id", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
-    return _split(docs, pattern).mapInArrow(run, "doc_id long, ids array<int>")
+
+def _lists(ids: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -254,36 +235,31 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        for doc_id, bpe, rows in encoded_batches(batches, ranks_path, pattern):
-            decimal = list(map(str, range(len(bpe.table)))).__getitem__
-            n, enc, dec = [], [], []
-            for r in rows:
-                ids = bpe.gather(r).tolist()
-                n.append(len(ids))
-                enc.append(sha(",".join(map(decimal, ids)).encode()))
-                dec.append(sha(bpe.decode(ids)))
-            yield pa.RecordBatch.from_arrays([doc_id, pa.array(n, pa.int64()), pa.array(enc, pa.string()), pa.array(dec, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        coder = once(("bpe", ranks_path, pattern), lambda: Coder(ranks_path, pattern))
+        for b in batches:
+            ids, sizes = coder.ids(b.column("text"))
+            enc = [sha(x[: max(0, len(x) - 1)]) for x in _slices(coder.decimals, ids, sizes)]
+            dec = [sha(x) for x in _slices(coder.tokens, ids, sizes)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(enc, pa.string()), pa.array(dec, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _split(docs, pattern).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode_and_verify(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256; fails if the decoded bytes are not those of the text."""
 
     def run(batches):
-        for doc_id, bpe, rows in encoded_batches(batches, ranks_path, pattern):
-            ids = [bpe.gather(r) for r in rows]
-            n = [len(x) for x in ids]
-            dec = [hashlib.sha256(bpe.decode(x.tolist())).hexdigest() for x in ids]
-            flat = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(np.concatenate(ids).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([doc_id, pa.array(n, pa.int64()), flat, pa.array(dec, pa.string())], ["key", "n_tokens", "ids", "decoded_sha256"])
-
-    words, odd = pretokens(F.col("text"), pattern)
-    # the text's hash goes through the coder in the key's place, so that both can be compared
-    keyed = docs.select(F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")).alias("doc_id"), words.alias("words"), odd.alias("odd"))
-    out = keyed.mapInArrow(run, "key struct<doc_id: long, text_sha256: string>, n_tokens long, ids array<int>, decoded_sha256 string")
-    same = F.when(F.col("decoded_sha256") == F.col("key.text_sha256"), F.col("decoded_sha256")).otherwise(F.raise_error(F.concat(F.lit("not the same after decoding: "), F.col("key.doc_id"))))
-    return out.select("key.doc_id", "n_tokens", "ids", same.alias("decoded_sha256"))
+        coder = once(("bpe", ranks_path, pattern), lambda: Coder(ranks_path, pattern))
+        for b in batches:
+            ids, sizes = coder.ids(b.column("text"))
+            dec = []
+            for i, (x, t) in enumerate(zip(_slices(coder.tokens, ids, sizes), b.column("text"))):
+                if bytes(x) != (t.as_py() or "").encode():
+                    raise ValueError(f"not the same after decoding: {b.column('doc_id')[i]}")
+                dec.append(hashlib.sha256(x).hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), _lists(ids, sizes), pa.array(dec, pa.string())], ["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str = RANKS) -> DataFrame:

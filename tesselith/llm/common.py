@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,15 +51,14 @@ def drop_stored(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """fn over Arrow batches, one at a time."""
+_made: dict = {}
 
-    def run(batches):
-        for b in batches:
-            if b.num_rows:
-                yield from fn(b)
 
-    return df.mapInArrow(run, schema)
+def once(key: tuple, make: Callable):
+    """What make gives, made once in a worker process and not for each task: coders, models, their caches."""
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
 
 
 def pieces(values: list, most_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:

@@ -42,7 +42,7 @@ def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, node, sig: size of the shingle set, its hash and its HASHES least values; node is null without words."""
+    """doc_id, t, n, node, sig: a hash of the text, size of the shingle set, its hash and its HASHES least values; node is null without words."""
 
     def run(batches):
         cache, (mul, add) = WordHashes(), _coefficients(HASHES)
@@ -61,9 +61,9 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                         sig[:, h] = np.minimum.reduceat((flat * mul[h] + add[h]) >> np.uint64(32), starts)
                 rows = iter(sig)
                 out = [next(rows).tobytes() if f else None for f in full.tolist()]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(n), pa.array(node, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "n", "node", "sig"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("doc_id", "t")), pa.array(n), pa.array(node, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "t", "n", "node", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, sig binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, "doc_id long, t long, n long, node long, sig binary")
 
 
 def forest(nodes: DataFrame) -> DataFrame:
@@ -234,8 +234,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, k: int, percen
     return x.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
+def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, t, n, group for every row: a hash of its text, the size of its shingle set, and its class, null without words."""
     docs = docs.select("doc_id", "text")
     sigs = stored(signatures(docs, k), "sigs")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -261,17 +261,29 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         if more.limit(1).count():
             links = links.union(more)
             comp = components(links)
-    named = sigs.select("doc_id", "n", "node").join(comp.withColumnRenamed("id", "node"), "node", "left")
-    named = named.withColumn("group", F.coalesce("comp", "node"))
+    named = sigs.select("doc_id", "t", "n", "node").join(comp.withColumnRenamed("id", "node"), "node", "left")
+    return named.select("doc_id", "t", "n", F.coalesce("comp", "node").alias("group"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row. A null doc_id is the greatest: kept where its class has no other."""
+    named = classes(docs, k, percent)
     least = named.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "group", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that are the least doc_id of their group."""
-    gone = near_duplicates(docs, k, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of docs that are the least of their class: by doc_id, a null one last, then by a hash of the text.
+
+    Rows without words stay, and so do repeated rows of the least document: rows are told apart by doc_id and text.
+    """
+    named = stored(classes(docs, k, percent).where("group is not null"), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t")
+    first = named.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("rows")).where("rows > 1").select("group", "first")
+    gone = named.join(first, "group").where(~order.eqNullSafe(F.col("first"))).select("doc_id", "t").distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))  # no name of docs meets one used here
+    return rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("t")), "left_anti").select("row.*")
 
 
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ but fair, until one of the two is taken or left. The sum of words never changes,
 document of its target. Chunks settle alone, and what each leaves undecided meets in a tree of ever fewer chunks.
 
 Defined cases: null or empty text has size 0 and is never taken; null source is a source, the last one; a repeated row
-is a document of its own, and so is each row with a null doc_id; an empty table gives an empty result; columns other than doc_id, text and source are not read.
+is a document of its own, and so is each text under one doc_id, null or not; an empty table gives an empty result; columns other
+than doc_id, text and source are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ FAN_IN = 16
 MOST_COPIES = 3
 #: Source tables up to so many rows are broadcast (about 60 bytes a row); larger ones are joined by shuffle.
 BROADCAST_SOURCES = 50_000
-NO_ID = "null"
 
 
 def source_targets(sizes: DataFrame, weights=(1, 2, 3), cap: float = MOST_COPIES) -> DataFrame:
@@ -99,23 +99,23 @@ def _settle(seed: int, last: bool):
 
 
 def mix_plan(docs: DataFrame, weights=(1, 2, 3), cap: int = MOST_COPIES, seed: int = 7) -> DataFrame:
-    """doc_id, size, source, source_size, target, copies: how often the mix takes each document."""
-    sizes = stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    """doc_id, t, size, source, source_size, target, copies: how often the mix takes each document; t is a hash of its text."""
+    sizes = stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("t")), "sizes")
     src = stored(source_targets(sizes, weights, cap).withColumn("src", F.xxhash64(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))), "sources")
     small = src.count() <= BROADCAST_SOURCES
-    doc_source = sizes.join(F.broadcast(src) if small else src, sizes["source"].eqNullSafe(src["source"])).select(sizes["doc_id"], sizes["size"], sizes["source"], "source_size", "target", "src")
+    doc_source = sizes.join(F.broadcast(src) if small else src, sizes["source"].eqNullSafe(src["source"])).select(sizes["doc_id"], "t", sizes["size"], sizes["source"], "source_size", "target", "src")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     doc_source = doc_source.withColumn("base", F.least(F.floor(rate + 1e-12), F.lit(cap)).cast("long")).withColumn("frac", F.greatest(rate - F.col("base"), F.lit(0.0)))
     chunks = max(1, math.ceil(sizes.count() / CHUNK_ROWS))
-    # null ids are dealt by size; as texts, ids go through pandas with nulls among them and join as plain values
-    doc_source = doc_source.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit(NO_ID)))
+    # a row's identity, as text, goes through pandas without nulls and joins as a plain value
+    doc_source = doc_source.withColumn("key", F.concat_ws(":", "doc_id", "t"))
     todo = doc_source.where((F.col("size") > 0) & (F.col("frac") > 1e-12)).select(
-        F.col("key").alias("doc_id"), "size", "src", F.pmod(F.xxhash64(F.coalesce("doc_id", -F.col("size")), F.lit(seed)), F.lit(chunks)).cast("long").alias("chunk"), (F.col("size") * F.col("frac")).alias("mass")
+        F.col("key").alias("doc_id"), "size", "src", F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(chunks)).cast("long").alias("chunk"), (F.col("size") * F.col("frac")).alias("mass")
     )
     schema = "doc_id string, size long, src long, chunk long, mass double, pending boolean"
     settled = None
     while True:
-        dealt = todo.repartition(max(1, min(chunks, 4096)), "chunk").sortWithinPartitions("chunk", "src", F.col("size").desc(), F.xxhash64(F.col("doc_id").try_cast("long"), F.lit(seed + 1)), "doc_id", "mass")
+        dealt = todo.repartition(max(1, min(chunks, 4096)), "chunk").sortWithinPartitions("chunk", "src", F.col("size").desc(), F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "mass")
         step = stored(dealt.mapInPandas(_settle(seed, chunks == 1), schema), "settled")
         done = step.where(~F.col("pending")).select("doc_id", "size", "src", (F.col("mass") > 0).cast("long").alias("extra"))
         settled = done if settled is None else settled.unionByName(done)
@@ -123,30 +123,24 @@ def mix_plan(docs: DataFrame, weights=(1, 2, 3), cap: int = MOST_COPIES, seed: i
             break
         chunks = math.ceil(chunks / FAN_IN)
         todo = step.where("pending").select("doc_id", "size", "src", F.floor(F.col("chunk") / FAN_IN).cast("long").alias("chunk"), "mass")
-    # repeated rows of one id, size and source are interchangeable: rank them on both sides
+    # repeated rows are interchangeable: rank them on both sides
     rank = lambda df: df.withColumn("rank", F.row_number().over(Window.partitionBy("key", "size", "src").orderBy(F.lit(0))))
     extra = settled.withColumnRenamed("doc_id", "key").withColumn("rank", F.row_number().over(Window.partitionBy("key", "size", "src").orderBy(F.col("extra").desc())))
     out = rank(doc_source).join(extra, ["key", "size", "src", "rank"], "left")
-    return out.select("doc_id", "size", "source", "source_size", "target", (F.when(F.col("size") > 0, F.col("base") + F.coalesce("extra", F.lit(0))).otherwise(0)).cast("long").alias("copies"))
+    return out.select("doc_id", "t", "size", "source", "source_size", "target", (F.when(F.col("size") > 0, F.col("base") + F.coalesce("extra", F.lit(0))).otherwise(0)).cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each row as often as the plan takes it. Rows with one doc_id share the largest number.
-
-    Rows with a null doc_id take the plan's numbers for their source and size in the order of their texts.
-    """
-    plan = stored(mix_plan(docs, **options).where("copies > 0"), "plan")
-    cols = docs.columns
-    most = plan.where("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    named = docs.join(most, docs["doc_id"] == most["doc_id"]).select(*[docs[c] for c in cols], "_copies")
-    by = lambda *order: F.row_number().over(Window.partitionBy("_size", "_source").orderBy(*order))
-    x = docs.where("doc_id is null").withColumn("_size", n_words(F.col("text"))).withColumn("_source", F.to_json(F.struct("source"))).withColumn("_rank", by(F.xxhash64("text"), "text"))
-    y = plan.where("doc_id is null").select(F.col("size").alias("_size"), F.to_json(F.struct("source")).alias("_source"), F.col("copies").alias("_copies"))
-    y = y.withColumn("_rank", by(F.col("_copies").desc()))
-    kept = named.union(x.join(y, ["_size", "_source", "_rank"]).select(*cols, "_copies"))
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*cols)
+    """The mixed documents: each row as often as the plan takes it. Rows are told apart by doc_id, text and source; which
+    of several equal rows is taken oftener is left open."""
+    named = lambda df, row, t: df.withColumn("key", F.to_json(F.struct(f"{row}doc_id", f"{row}source", t.alias("t")))).withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("order")))
+    plan = named(mix_plan(docs, **options).withColumn("order", -F.col("copies")), "", F.col("t"))
+    plan = stored(plan.where("copies > 0").select("key", "rank", F.col("copies").cast("int").alias("copies")), "plan")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.lit(0).alias("order"))  # no name of docs meets one used here
+    rows = named(rows, "row.", F.xxhash64("row.text")).join(plan, ["key", "rank"])
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")

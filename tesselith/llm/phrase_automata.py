@@ -109,18 +109,21 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs without the words that go; a row that loses none keeps its text as it is, one that loses all stays, empty."""
-    x = removals(docs, window).where("n_removed > 0").groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("_doc"), F.col("node").alias("_node")).agg(F.first("kept").alias("_kept"))
-    names, schema = docs.columns, StructType([*docs.schema.fields, StructField("_own", LongType())])
+    x = removals(docs, window).where("n_removed > 0").groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "node").agg(F.first("kept").alias("kept"))
+    names = docs.columns
+    held = docs.select("doc_id", "text", F.struct(*[docs[c] for c in names]).alias("row"))  # no name of docs meets one used here
+    schema = StructType([StructField("own", LongType()), StructField("doc_id", LongType()), held.schema["row"]])
 
     def own(batches):  # rows that share a doc_id may have other texts: the node tells them apart
         kind = Words()
         for b in batches:
-            texts = [(t or "").encode() for t in b.column(names.index("text")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(kind.join(kind.split(t)))))) for t in texts], pa.int64())], [*names, "_own"])
+            nodes = [int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(kind.join(kind.split((t or "").encode())))))) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), b.column("doc_id"), b.column("row")], ["own", "doc_id", "row"])
 
-    y = docs.mapInArrow(own, schema)
-    y = y.join(x, (F.coalesce("doc_id", F.lit(LAST)) == x["_doc"]) & (F.col("_own") == x["_node"]), "left")
-    return y.select(*[(F.coalesce("_kept", y[c]) if c == "text" else F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("long")).otherwise(y[c]) if c == "n_chars" else y[c]).alias(c) for c in names])
+    y = held.mapInArrow(own, schema)
+    y = y.join(x, (F.coalesce("doc_id", F.lit(LAST)) == F.col("doc")) & (F.col("own") == F.col("node")), "left")
+    now = {"text": F.coalesce("kept", F.col("row.text")), "n_chars": F.when(F.col("kept").isNotNull(), F.length("kept").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in names else None}
+    return y.select(*[now.get(c, F.col("row").getField(c)).alias(c) for c in names])
 
 
 def op3_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ LAST = 2**63 - 1
 #: Bytes of text whose places are merged at once, and that share a destination.
 LOT_BYTES, DEST_BYTES = 16 << 20, 16 << 20
 #: Places of a bucket, about: some 100 bytes each while it is sorted.
-BUCKET_PLACES = 1_000_000
+BUCKET_PLACES = 500_000
 #: Symbols in the different fragments of one anchor beyond which they are cut into single runs.
 CROWDED = 1 << 16
 #: Bytes of fragments that a locator gets at once.

@@ -18,18 +18,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import pretokens
-from .common import drop_stored, shared_dir, stored, table
+from . import units
+from .common import drop_stored, once, shared_dir, stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
 BLOCK_TOKENS, STEP = 1 << 16, 128
 #: Code lengths fit in a decoding table of 2 ** this entries at least, and two more bits than the ids need.
 LEAST_LIMIT = 16
-KEPT = 150_000
+#: Units that the library gets at once: its results take a kilobyte each.
 ENCODED_AT_ONCE = 10_000
 
 
@@ -108,68 +109,110 @@ class Decoder:
         return out.ravel()[:n]
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, pattern: str, end: int = END) -> DataFrame:
-    """doc_id, ids: little-endian 32-bit ids of each whole text and the end id.
+class Library:
+    """The tokenizers library, which gets each unit of texts once while it is remembered.
 
-    The library encodes each distinct pre-token of a batch once; texts with a special token's string, or with code
-    points newer than the JVM's Unicode tables, go to it whole.
+    Plain units (a space, then no white space) are given to it side by side as one text, which it takes apart at the spaces; a
+    token that begins with a space then begins a unit. Texts with an added token's string go to it whole.
     """
-    from tokenizers import Tokenizer
 
-    added = [t.content for t in Tokenizer.from_file(tokenizer_path).get_added_tokens_decoder().values()]
-    special = F.lit(False)
-    for t in added:
-        special = special | F.coalesce(F.contains("text", F.lit(t)), F.lit(False))
-    words, odd = pretokens(F.col("text"), pattern)
-
-    def run(batches):
+    def __init__(self, path: str):
+        import json
         import os
 
+        from tokenizers import Tokenizer
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tok = Tokenizer.from_file(tokenizer_path)
-        encode = lambda x: [e.ids for e in tok.encode_batch_fast(x, add_special_tokens=False)]
-        known, flat, starts = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
-        tail = np.array([end], "<u4").tobytes()
+        self.tok = Tokenizer.from_file(path)
+        with open(path) as f:
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        bare = not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding")
+        self.cut = bare and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.size = max(vocab.values()) + 1
+        self.spaced = np.zeros(self.size, bool)
+        self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # what stands for a space in byte-level tokens
+        self.memory = units.UnitCoder(self._encode)
+
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out = [x.ids for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter((i for x in out for i in x), np.int32), np.array([len(x) for x in out], np.int64)
+
+    def _encode(self, some: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        if not self.cut:
+            return self._alone(some.to_pylist())
+        plain, flats, sizes = units.plain(some), [], np.zeros(len(some), np.int64)
+        order = []
+        for which in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            for i in range(0, len(which), ENCODED_AT_ONCE):
+                at = which[i : i + ENCODED_AT_ONCE]
+                part = some.take(pa.array(at))
+                if plain[at[0]]:
+                    raw, _ = units.text_bytes(part)
+                    flat = np.array(self.tok.encode_batch_fast([raw.tobytes().decode()], add_special_tokens=False)[0].ids, np.int32)
+                    begin = np.flatnonzero(self.spaced[flat])
+                    if len(begin) == len(at):
+                        n = np.diff(np.append(begin, len(flat)))
+                    else:
+                        flat, n = self._alone(part.to_pylist())
+                else:
+                    flat, n = self._alone(part.to_pylist())
+                flats.append(flat)
+                sizes[at] = n
+                order.append(at)
+        flat, order = np.concatenate(flats), np.concatenate(order)
+        starts = np.zeros(len(some), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        ends = np.cumsum(sizes)
+        return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(len(flat))], sizes
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts in a row, and how many each text has."""
+        texts = texts.fill_null("")
+        odd = np.zeros(len(texts), bool)
+        for t in self.added:
+            odd |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self.memory.ids(texts, self.cut)
+        rest, n = self.memory.ids(pc.if_else(pa.array(odd), pa.scalar(""), texts), self.cut)
+        parts = np.split(rest, np.cumsum(n)[:-1])
+        for i in np.flatnonzero(odd).tolist():
+            parts[i], _ = self._alone([texts[i].as_py()])
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+
+def id_type(size: int) -> str:
+    """Ids of a vocabulary of this size travel in two bytes if they can, and in four otherwise."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, tokenizer_path: str, end: int = END) -> DataFrame:
+    """doc_id, ids: the ids of each whole text and the end id, of id_type() of the vocabulary."""
+
+    def run(batches):
+        library = once(("tokenizers", tokenizer_path), lambda: Library(tokenizer_path))
+        kind = id_type(library.size)
         for b in batches:
-            if len(known) > KEPT:
-                known, flat, starts = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
-            column = b.column("words")
-            coded = column.flatten().dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            new = [w for w in distinct if w not in known]
-            if new:
-                sizes, parts = [], [flat]
-                for i in range(0, len(new), ENCODED_AT_ONCE):  # the library's results take a kilobyte each
-                    ids = encode(new[i : i + ENCODED_AT_ONCE])
-                    sizes += map(len, ids)
-                    parts.append(np.fromiter((i for x in ids for i in x), np.int32))
-                known.update(zip(new, range(len(known), len(known) + len(new))))
-                starts, flat = np.concatenate((starts, starts[-1] + np.cumsum(sizes))), np.concatenate(parts)
-            number = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy(zero_copy_only=False)]
-            sizes = np.diff(column.offsets.to_numpy())
-            sizes = np.where(column.is_null().to_numpy(zero_copy_only=False), 0, sizes)
-            out = []
-            for x in np.split(number, np.cumsum(sizes)[:-1]):
-                n = starts[x + 1] - starts[x]
-                where = np.repeat(starts[x] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                out.append(flat[where].astype("<u4").tobytes() + tail)
-            whole = [(i, t) for i, t in enumerate(b.column("whole").to_pylist()) if t is not None]
-            for (i, _), ids in zip(whole, encode([t for _, t in whole])):
-                out[i] = np.array(ids, "<u4").tobytes() + tail
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
-
-    rows = docs.select("doc_id", F.when(~special, words).alias("words"), F.coalesce(F.when(special, F.col("text")), odd).alias("whole"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
-
-
-def write_files(tokens: DataFrame, path: str) -> None:
-    """tokens: doc_id, ids. Writes path/code and path/blocks."""
+            ids, sizes = library.ids(b.column("text"))
+            ends = np.cumsum(sizes)
+            ids = np.insert(ids, ends, end).astype(kind)
+            at = np.append(0, ends + np.arange(1, len(ends) + 1)) * ids.itemsize
+            data = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), data], ["doc_id", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+
+
+def write_files(tokens: DataFrame, path: str, kind: str) -> None:
+    """tokens: doc_id, ids of numpy type kind. Writes path/code and path/blocks."""
     spark = tokens.sparkSession
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            ids = np.frombuffer(b"".join(b.column("ids").to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(b.column("ids").to_pylist()), kind)
             n = np.bincount(ids, minlength=len(total))
             n[: len(total)] += total
             total = n
@@ -184,14 +227,16 @@ def write_files(tokens: DataFrame, path: str) -> None:
     spark.createDataFrame([(i, int(lengths[i])) for i in np.flatnonzero(lengths).tolist()], "id long, length int").coalesce(1).write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast((canonical(lengths), lengths))
 
+    width = np.dtype(kind).itemsize
+
     def blocks(batches):
         codes, lens = code.value
         part, block, ids, docs_, size = None, 0, [], [], 0
 
         def made():
-            flat = np.concatenate([np.frombuffer(x, "<u4") for x in ids]).astype(np.int64)
+            flat = np.frombuffer(b"".join(ids), kind).astype(np.int64)
             offsets, payload = pack(flat, codes, lens)
-            cols = [part], [block], [docs_], [[len(x) // 4 for x in ids]], [offsets.tolist()], [payload]
+            cols = [part], [block], [docs_], [[len(x) // width for x in ids]], [offsets.tolist()], [payload]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()))], ["part", "block", "doc_ids", "sizes", "offsets", "payload"])
 
         for b in batches:
@@ -199,7 +244,7 @@ def write_files(tokens: DataFrame, path: str) -> None:
                 part = part_
                 ids.append(x)
                 docs_.append(doc)
-                size += len(x) // 4
+                size += len(x) // width
                 if size >= BLOCK_TOKENS:
                     yield made()
                     block, ids, docs_, size = block + 1, [], [], 0
@@ -240,8 +285,9 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
     import public_tokenizers
 
-    tokens = stored(tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path(tokenizer), public_tokenizers.PATTERN), "tokens")
+    where = public_tokenizers.path(tokenizer)
+    tokens = stored(tokenize(table(spark, sf_dir, "documents"), where), "tokens")
     path = f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
-    write_files(tokens, path)
+    write_files(tokens, path, id_type(Library(where).size))
     drop_stored(tokens)
     return read_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

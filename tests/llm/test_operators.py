@@ -189,9 +189,24 @@ def test_mixing(spark, sf):
     got, again = (run(spark, sf, "op8_mix_sources").sort_values(["doc_id", "taken"]).reset_index(drop=True) for _ in range(2))
     pd.testing.assert_frame_equal(got, again)
     assert (got.taken % got["size"].where(got["size"] > 0, 1) == 0).all() and (got.taken <= 3 * got["size"]).all()
-    by = got.groupby("target").agg(taken=("taken", "sum"), most=("size", "max")).reset_index()
+    by = got.groupby("source", dropna=False).agg(taken=("taken", "sum"), most=("size", "max"), target=("target", "first"), kinds=("target", "nunique"), own=("size", "sum"), said=("source_size", "first"))
+    assert (by.kinds == 1).all() and (by.own == by.said).all()
     assert (abs(by.taken - by.target) <= by.most).all()
-    assert abs(by.target.sum() - got["size"].sum()) < 1e-6
+    # shares by weight 1, 2, 3 in the order of names, null last; what is above three times a source's size is reshared
+    names = sorted(x for x in got.source.unique() if isinstance(x, str)) + [None]
+    weight, left, fixed = {n: i % 3 + 1 for i, n in enumerate(names)}, float(got["size"].sum()), {}
+    own = {n: float(got["size"][got.source == n].sum() if n else got["size"][got.source.isna()].sum()) for n in names}
+    while True:
+        share = {n: left * weight[n] / sum(weight[m] for m in names if m not in fixed) for n in names if n not in fixed}
+        over = [n for n in share if share[n] > 3 * own[n]]
+        if not over:
+            break
+        for n in over:
+            fixed[n] = 3 * own[n]
+            left -= fixed[n]
+    for n in names:
+        target = got.target[got.source == n] if n else got.target[got.source.isna()]
+        assert abs(target.iloc[0] - {**share, **fixed}[n]) < 1e-6
 
 
 def test_near_copies(spark, sf):

@@ -72,3 +72,68 @@ def test_a_rare_offence_is_learned(spark):
 
     rows = [("common word", 1)] * 992 + [("common dolt", 1)] * 8 + [("common word", 0)] * 5000
     assert any("dolt".startswith(s) for s in learn_stems(spark.createDataFrame(rows, "text string, toxic int")))
+
+
+def test_an_anchor_with_very_many_fragments(spark, monkeypatch):
+    """Texts that share a passage in the middle only: its edges differ in all of them, and go window by window."""
+    import random
+
+    from tesselith.llm import phrase_automata, recurrence, suffix_arrays
+
+    monkeypatch.setattr(recurrence, "CROWDED", 200)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(40))
+    texts = [" ".join(word() for _ in range(rng.randint(1, 30))) + " " + passage + " " + " ".join(word() for _ in range(9)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for removals, split, window in ((phrase_automata.removals, str.split, 13), (suffix_arrays.removals, list, 50)):
+        seen, want = {}, {}
+        for i, t in enumerate(texts):
+            x, gone = split(t), set()
+            for s in range(len(x) - window + 1):
+                if seen.setdefault(tuple(x[s : s + window]), i) < i:
+                    gone |= set(range(s, s + window))
+            want[i] = len(gone)
+        assert sum(want.values()) > 2000
+        assert {r.doc_id: r.n_removed for r in removals(docs).collect()} == want
+
+
+def test_shared_and_null_ids_of_different_texts(spark):
+    """Rows (1, A), (2, B), (2, C), (null, D), (null, E): B and D lose words to A, and C and E keep theirs."""
+    from tesselith.llm import suffix_arrays
+    from tesselith.llm.phrase_automata import remove_repeated
+
+    a, c, e = (" ".join(f"{x}{i}" for i in range(24)) for x in "ace")
+    b, d = (a + " " + " ".join(f"{x}{i}" for i in range(4)) for x in "bd")
+    rows = [(1, a, "x"), (2, b, "x"), (2, c, "x"), (None, d, "x"), (None, e, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
+    got = {(r.doc_id, r.text, r._kept) for r in remove_repeated(docs).collect()}
+    assert got == {(1, a, "x"), (2, "b0 b1 b2 b3", "x"), (2, c, "x"), (None, "d0 d1 d2 d3", "x"), (None, e, "x")}
+    got = [(r.doc_id, r.n_bytes, r.n_removed) for r in suffix_arrays.removals(docs).collect()]
+    assert sorted(got, key=str) == sorted([(1, len(a), 0), (2, len(b), len(a)), (2, len(c), 0), (None, len(d), len(a) + 1), (None, len(e), 0)], key=str)
+
+
+def test_one_of_each_group_stays_whatever_the_ids(spark):
+    """Rows (1, X), (5, near X), (5, another), (null, near X), (null, Y), (null, near Y)."""
+    from tesselith.llm.minhash_forest import keep_one, near_duplicates
+
+    x, y, z = ([f"{c}{i}" for i in range(80)] for c in "xyz")
+    rows = [(1, x), (5, x[:-1]), (5, z), (None, x[1:]), (None, y), (None, y[:-1]), (7, [])]
+    docs = spark.createDataFrame([(i, " ".join(t), "c") for i, t in rows], "doc_id long, text string, _doc string")
+    left = [(r.doc_id, r.text.split()) for r in keep_one(docs).collect()]
+    assert len(left) == 4 and (1, x) in left and (5, z) in left and (7, []) in left
+    assert sum(t in (y, y[:-1]) for _, t in left) == 1
+    assert sum(not r.kept for r in near_duplicates(docs).collect()) == 2  # of the class of 1; texts under null ids are one document
+
+
+def test_rows_of_one_id_are_mixed_each_for_itself(spark):
+    from tesselith.llm.mixing import mix, mix_plan
+
+    rows = [(i // 3, " ".join(f"w{i}" for _ in range(i % 5 + 1)), f"s{i % 4}", "c") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _copies string")
+    plan = mix_plan(docs).toPandas()
+    mixed = collections.Counter()
+    for r in mix(docs).collect():
+        mixed[r.source] += len(r.text.split())
+    for source, x in plan.groupby("source"):
+        assert mixed[source] == (x.copies * x["size"]).sum() and abs(mixed[source] - x.target.iloc[0]) <= 5
