@@ -231,10 +231,13 @@ def shrunk(image: np.ndarray, most: int) -> np.ndarray:
     """An image of `most` pixels on its longer side at most, each pixel the mean of the area it covers."""
     h, w = image.shape[:2]
     scale = most / max(h, w)
-    if scale >= 1:
-        return image
+    return image if scale >= 1 else area_resized(image, max(1, round(w * scale)), max(1, round(h * scale)))
+
+
+def area_resized(image: np.ndarray, width: int, height: int) -> np.ndarray:
+    """Each pixel the mean of the area it covers."""
     x = image.astype(np.float64)
-    for axis, n in ((0, max(1, round(h * scale))), (1, max(1, round(w * scale)))):
+    for axis, n in ((0, height), (1, width)):
         m = x.shape[axis]
         sums = np.concatenate((np.zeros_like(np.take(x, [0], axis=axis)), np.cumsum(x, axis=axis)), axis=axis)
         at = np.arange(n + 1) * m / n

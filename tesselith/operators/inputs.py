@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: the slide file kinds that are read
@@ -31,15 +31,15 @@ def dicom_entry(files: DataFrame) -> DataFrame:
 def deduplicated(inputs: DataFrame) -> DataFrame:
     """action of each input: keep (the first of its slide_id), skip (same content as that one) or conflict.
 
-    Contents are hashed only where ids collide. The window holds a hash per row, not the content.
+    Ids are counted without contents; contents are read only of inputs whose id is taken, and hashed where they are read.
     """
-    w = Window.partitionBy("slide_id")
-    many = F.count("*").over(w) > 1
-    rows = inputs.withColumn("many", many).withColumn("checksum", F.when(F.col("many"), F.sha2("content", 256))).drop("content", "many")
-    first = F.min(F.struct("ordinal", "checksum")).over(w)
-    rows = rows.withColumn("first", first)
-    same = F.col("checksum") == F.col("first.checksum")
-    return rows.withColumn("action", F.when(F.col("ordinal") == F.col("first.ordinal"), "keep").when(same, "skip").otherwise("conflict")).drop("first", "checksum")
+    many = inputs.groupBy("slide_id").agg(F.count("*").alias("n"), F.min("ordinal").alias("first")).where("n > 1").drop("n")
+    own = inputs.join(many, "slide_id").select("ordinal", "slide_id", "first", F.sha2("content", 256).alias("checksum"))
+    first = own.where("ordinal = first").select("slide_id", F.col("checksum").alias("first_checksum"))
+    same = F.col("checksum").eqNullSafe(F.col("first_checksum"))
+    told = own.join(first, "slide_id").select("ordinal", "slide_id", F.when(F.col("ordinal") == F.col("first"), "keep").when(same, "skip").otherwise("conflict").alias("action"))
+    rest = inputs.drop("content").join(told, ["ordinal", "slide_id"], "left")
+    return rest.withColumn("action", F.coalesce("action", F.lit("keep")))
 
 
 def mean_mpp(text: Column) -> Column:

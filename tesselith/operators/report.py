@@ -12,14 +12,18 @@ def summary(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("slides"), count("success").alias("success"), count("failed").alias("failed"), count("skipped").alias("skipped"), F.coalesce(F.sum("patches"), F.lit(0)).alias("patches"), F.when(good, "success").otherwise("partial").alias("status"))
 
 
-def slide_results(records: DataFrame) -> DataFrame:
-    """A row a slide from the records of its patches."""
+def slide_results(records: DataFrame, most_failures: int = 0) -> DataFrame:
+    """A row a slide from the records of its patches; more failures than most_failures fail it."""
     g = records.groupBy("slide_id").agg(F.count(F.when(F.col("status").isin("success", "skipped"), 1)).alias("patches"), F.count(F.when(F.col("status") == "failed", 1)).alias("n_failed"), F.count(F.when(F.col("status") != "skipped", 1)).alias("n_done"), F.sum("elapsed").alias("elapsed"), F.min("error").alias("error"))
-    return g.withColumn("status", F.when(F.col("n_failed") > 40, "failed").when(F.col("n_done") == 0, "skipped").otherwise("success"))
+    return g.withColumn("status", F.when(F.col("n_failed") > most_failures, "failed").when(F.col("n_done") == 0, "skipped").otherwise("success"))
 
 
 def with_level(results: DataFrame) -> DataFrame:
-    return results.withColumn("level", F.when(F.col("status") == "failed", "error").when((F.col("status") == "skipped") & F.col("error").isNotNull(), "warning").otherwise("info"))
+    """level of a slide's log line: error if it failed; warning if it was skipped for a reason, or its colours stay as they are."""
+    warning = (F.col("status") == "skipped") & F.col("error").isNotNull()
+    if "color_correction" in results.columns:
+        warning = warning | F.coalesce(F.startswith("color_correction", F.lit("unavailable:")), F.lit(False))
+    return results.withColumn("level", F.when(F.col("status") == "failed", "error").when(warning, "warning").otherwise("info"))
 
 
 def timings(records: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """A Spark data source that writes patches to TAR shards, and lists the members of shards.
 
 Tasks write hidden files of their own; only commit() gives them their names, so that a task that runs twice, or is lost,
-leaves no shard behind. Rows of one shard must be in one partition, in order. Paths are on a file system that all
-executors share.
+leaves no shard behind. Rows of one shard must be in one partition, in order. A shard may have folders before its name. Paths
+are on a file system that all executors share.
 
     rows.write.format("tar_shards").option("path", folder).mode("append").save()   # shard, name, data
 """
@@ -24,8 +24,8 @@ class Written(WriterCommitMessage):
 
 
 class TarWriter(DataSourceWriter):
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite = path, overwrite
+    def __init__(self, path: str, overwrite: bool, mode: int = 0o644):
+        self.path, self.overwrite, self.mode = path, overwrite, mode
 
     def write(self, rows):
         os.makedirs(self.path, exist_ok=True)
@@ -38,7 +38,7 @@ class TarWriter(DataSourceWriter):
                 done.append((hidden, os.path.join(self.path, r.shard)))
                 tar = tarfile.open(hidden, "w")
             info = tarfile.TarInfo(r.name)
-            info.size, info.mtime, info.mode = len(r.data), 0, 0o644
+            info.size, info.mtime, info.mode = len(r.data), 0, self.mode
             tar.addfile(info, io.BytesIO(bytes(r.data)))
         if tar:
             tar.close()
@@ -50,15 +50,19 @@ class TarWriter(DataSourceWriter):
         if len(set(names)) < len(names):
             self.abort(messages)
             raise ValueError("rows of one shard were in several partitions")
-        if self.overwrite:  # shards of an earlier, larger run do not stay behind
-            for f in os.listdir(self.path):
-                if f.endswith(".tar") and os.path.join(self.path, f) not in names:
-                    os.unlink(os.path.join(self.path, f))
+        taken = [] if self.overwrite else [to for to in names if os.path.exists(to)]
+        if taken:  # before any shard gets its name
+            self.abort(messages)
+            raise FileExistsError(taken[0])
+        for folder in {os.path.dirname(to) for to in names}:
+            os.makedirs(folder, exist_ok=True)
         for hidden, to in made:
-            if os.path.exists(to) and not self.overwrite:
-                self.abort(messages)
-                raise FileExistsError(to)
             os.replace(hidden, to)
+        if self.overwrite:  # shards of an earlier, larger run do not stay behind
+            for folder in {os.path.dirname(to) for to in names}:
+                for f in os.listdir(folder):
+                    if f.endswith(".tar") and os.path.join(folder, f) not in names:
+                        os.unlink(os.path.join(folder, f))
 
     def abort(self, messages):
         for hidden, _ in (f for m in messages if m for f in m.files):
@@ -76,14 +80,14 @@ class TarReader(DataSourceReader):
         self.path = path
 
     def partitions(self):
-        return [Shard(os.path.join(self.path, f)) for f in sorted(os.listdir(self.path)) if f.endswith(".tar")]
+        return [Shard(os.path.join(d, f)) for d, _, fs in sorted(os.walk(self.path)) for f in sorted(fs) if f.endswith(".tar")]
 
     def read(self, partition):
         if partition is None:
             return
         with tarfile.open(partition.path) as tar:
             for m in tar:
-                yield os.path.basename(partition.path), m.name, tar.extractfile(m).read()
+                yield os.path.relpath(partition.path, self.path), m.name, tar.extractfile(m).read()
 
 
 class TarShards(DataSource):
@@ -98,4 +102,4 @@ class TarShards(DataSource):
         return TarReader(self.options["path"])
 
     def writer(self, schema, overwrite):
-        return TarWriter(self.options["path"], overwrite)
+        return TarWriter(self.options["path"], overwrite, int(self.options.get("mode", "644"), 8))
