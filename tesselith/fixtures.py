@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIDE = 64
+#: Failed patches beyond which a slide of records() counts as failed.
+MOST_FAILURES = 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def mask_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """slide_id, row, col: the cells that are on. A cell is on if it holds more than its share of its slide's rows."""
+def mask_cells(spark: SparkSession, sf_dir: str, share: float = 1.0) -> DataFrame:
+    """slide_id, row, col: the cells that are on. A cell is on if it holds more than its share of its slide's rows, or than so much of it."""
     li = table(spark, sf_dir, "lineitem")
     cells = li.groupBy(F.col("l_linenumber").cast("long").alias("slide_id"), (F.col("l_orderkey") % SIDE).alias("row"), (F.col("l_partkey") % SIDE).alias("col")).agg(F.count("*").alias("n"))
     totals = cells.groupBy("slide_id").agg(F.sum("n").alias("total"))
-    return cells.join(totals, "slide_id").where(F.col("n") * SIDE * SIDE > F.col("total")).select("slide_id", "row", "col")
+    return cells.join(totals, "slide_id").where(F.col("n") * SIDE * SIDE * 10 > F.col("total") * round(10 * share)).select("slide_id", "row", "col")
 
 
 def mask_slides(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Coverage of rectangles by a mask: a containment join solved by prefix sums.
 
-Each slide's inclusive prefix sums are one array, bounded by the thumbnail's size, so that a plan looks up its four corners
-in the row it is joined with; there is no join on pixels.
+Each slide's inclusive prefix sums are one array, bounded by the thumbnail's size. All places of a slide are counted within
+its own row, and only the counts leave it: neither pixels nor sums are joined or copied to places.
 """
 
 from __future__ import annotations
@@ -25,15 +25,20 @@ def box(x: Column, span, slide_side: Column, side: int) -> tuple[Column, Column]
     return clamp(F.floor(x * side / slide_side)), clamp(F.ceil((x + span) * side / slide_side))
 
 
-def rectangle(side: int, span: int) -> tuple[Column, Column]:
-    """Cells on and cells in all of the box of a plan with x0, y0, width, height, sums."""
-    (left, right), (top, bottom) = box(F.col("x0"), span, F.col("width"), side), box(F.col("y0"), span, F.col("height"), side)
+def places(slides: DataFrame, side: int, patch: int, stride: int) -> DataFrame:
+    """slides: slide_id, width, height, sums, mask. A row for each place of the grid with x0, y0, total and area of its box,
+    and whether the mask is on under its middle; none where a side is too short."""
     at = lambda r, c: F.when((r == 0) | (c == 0), F.lit(0)).otherwise(F.element_at("sums", (r - 1) * side + c))
-    return at(bottom, right) - at(top, right) - at(bottom, left) + at(top, left), ((right - left) * (bottom - top)).cast("long")
-
-
-def center_on(side: int, span: int) -> Column:
-    """Whether the mask is on under the middle of the plan."""
-    col = F.least(F.lit(side - 1), F.greatest(F.lit(0), F.floor((F.col("x0") + span / 2.0) * side / F.col("width"))))
-    row = F.least(F.lit(side - 1), F.greatest(F.lit(0), F.floor((F.col("y0") + span / 2.0) * side / F.col("height"))))
-    return F.element_at("mask", (row * side + col + 1).cast("int")) == 1
+    middle = lambda v, slide_side: F.least(F.lit(side - 1), F.greatest(F.lit(0), F.floor((v + patch / 2.0) * side / slide_side))).cast("int")
+
+    def one(x, y):
+        (left, right), (top, bottom) = box(x, patch, F.col("width"), side), box(y, patch, F.col("height"), side)
+        total = at(bottom, right) - at(top, right) - at(bottom, left) + at(top, left)
+        on = F.element_at("mask", middle(y, F.col("height")) * side + middle(x, F.col("width")) + 1) == 1
+        return F.struct(x.alias("x0"), y.alias("y0"), total.alias("total"), ((right - left) * (bottom - top)).cast("long").alias("area"), on.alias("center_on"))
+
+    steps = lambda c: F.sequence(F.lit(0).cast("long"), (F.col(c) - patch).cast("long"), F.lit(stride).cast("long"))
+    found = F.flatten(F.transform(steps("height"), lambda y: F.transform(steps("width"), lambda x: one(x, y))))
+    fits = (F.col("width") >= patch) & (F.col("height") >= patch)
+    out = slides.select("slide_id", "width", "height", F.explode(F.when(fits, found)).alias("p")).select("slide_id", "width", "height", "p.*")
+    return out.withColumn("coverage", F.when(F.col("area") > 0, F.col("total") / F.col("area")).otherwise(0.0))

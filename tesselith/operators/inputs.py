@@ -56,3 +56,25 @@ def pending(slides: DataFrame, done: DataFrame) -> DataFrame:
 def resumed(plans: DataFrame, done: DataFrame) -> DataFrame:
     """status: skipped where the file is there already, else pending."""
     return plans.join(done.withColumn("_there", F.lit(True)), ["slide_id", "name"], "left").withColumn("status", F.when(F.col("_there"), "skipped").otherwise("pending")).drop("_there")
+
+
+def device(request: Column) -> Column:
+    """A device by request: none means any, a number that of CUDA."""
+    text = F.trim(request)
+    return F.when(request.isNull() | request.isin("", "null"), "auto").when(text.rlike("^[0-9]+$"), F.concat(F.lit("cuda:"), text)).otherwise(text)
+
+
+def numbers(text: Column) -> Column:
+    """The positive finite numbers in a text, parted by commas, semicolons, backslashes or blanks."""
+    return F.filter(F.transform(F.split(F.trim(text), "[,;\\\\\\s]+"), lambda x: x.try_cast("double")), lambda x: x.isNotNull() & (x > 0) & (x < float("inf")))
+
+
+def resolution(properties: Column, direct: Column) -> Column:
+    """Microns a pixel from the direct value, or a map of properties: by axis, for both axes, or in millimetres."""
+    from ..sources.readers import BOTH_KEYS, MILLIMETRE_KEYS, X_KEYS, Y_KEYS
+
+    low = F.transform_keys(properties, lambda k, v: F.lower(k))
+    of = lambda key: numbers(F.try_element_at(low, F.lit(key)))
+    mean = lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a))
+    axes = F.filter(F.array(*[F.get(of(k), F.lit(0)) for k in X_KEYS + Y_KEYS]), lambda x: x.isNotNull())
+    return F.coalesce(mean(numbers(direct)), mean(axes), *[mean(of(k)) for k in BOTH_KEYS], *[1000 * mean(of(k)) for k in MILLIMETRE_KEYS])

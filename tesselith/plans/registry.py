@@ -54,12 +54,9 @@ RASTER = """raster AS (SELECT vec_id slide_id, CAST((i - 1) // 8 AS BIGINT) "row
 
 
 def region_plans(spark: SparkSession, sf_dir: str, patch: int = PATCH) -> DataFrame:
-    """All places of the grid with total and area of their boxes, and sums and mask of their slide."""
+    """All places of the grid with total, area and coverage of their boxes, and whether the mask is on under their middle."""
     slides = fx.mask_slides(spark, sf_dir)
-    sums = coverage.integral(fx.mask_cells(spark, sf_dir), slides, SIDE)
-    plans = planning.grid(slides, "width", "height", patch, STRIDE).join(sums, "slide_id")
-    total, area = coverage.rectangle(SIDE, patch)
-    return plans.withColumn("total", total).withColumn("area", area).withColumn("coverage", F.when(F.col("area") > 0, F.col("total") / F.col("area")).otherwise(0.0))
+    return coverage.places(slides.join(coverage.integral(fx.mask_cells(spark, sf_dir), slides, SIDE), "slide_id"), SIDE, patch, STRIDE)
 
 
 def fraction_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +75,7 @@ def inclusion_full(spark, sf_dir):
 
 @query(f"""WITH {PLANS} SELECT g.slide_id, CAST(x0 AS BIGINT) x0, CAST(y0 AS BIGINT) y0 FROM grid g JOIN cells c ON c.slide_id = g.slide_id AND c.col = CAST(floor((x0 + {PATCH} / 2.0) * {SIDE} / width) AS BIGINT) AND c."row" = CAST(floor((y0 + {PATCH} / 2.0) * {SIDE} / height) AS BIGINT)""")
 def inclusion_center(spark, sf_dir):
-    return region_plans(spark, sf_dir).where(coverage.center_on(SIDE, PATCH)).select("slide_id", "x0", "y0")
+    return region_plans(spark, sf_dir).where("center_on").select("slide_id", "x0", "y0")
 
 
 @query(f"""WITH {PART}, x AS (SELECT *, unnest([1.0::DOUBLE, 4.0::DOUBLE, 16.0::DOUBLE]) downsample FROM slides) SELECT slide_id, downsample, CASE WHEN mpp IS NULL THEN 600 ELSE CAST(greatest(1, round_even(512 * (0.5 / (mpp * downsample)), 0)) AS BIGINT) END read_size, CASE WHEN mpp IS NULL THEN 300 ELSE CAST(greatest(1, round_even(300 * (0.5 / (mpp * downsample)), 0)) AS BIGINT) END stride, 0.5::DOUBLE output_mpp, mpp * downsample * 600 / 512 AS native_mpp FROM x""")
@@ -115,6 +112,18 @@ def sample_random(spark, sf_dir):
     return planning.sample_random(fraction_plans(spark, sf_dir), 25, 0).select("slide_id", "index", "x0", "y0")
 
 
+@query()
+def preview_permutation(spark, sf_dir):
+    """The first eight plans of each slide in NumPy's random order."""
+
+    @F.pandas_udf("array<long>")
+    def order(n: pd.Series) -> pd.Series:
+        return n.map(lambda k: planning.preview_sample(k, 8, 3))
+
+    n = fraction_plans(spark, sf_dir).groupBy("slide_id").agg(F.count("*").alias("n"))
+    return n.select("slide_id", F.posexplode(order("n")).alias("place", "index"))
+
+
 @query("WITH s AS (SELECT source, doc_id, sha256('0:' || doc_id) score FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score, doc_id) rank FROM s) SELECT source, doc_id, score, rank FROM r WHERE rank <= 5")
 def bottom_k_hash(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents").select("source", "doc_id", F.sha2(F.concat(F.lit("0:"), F.col("doc_id").cast("string")), 256).alias("score"))
@@ -232,11 +241,16 @@ def filter_chain(spark, sf_dir):
     return decisions.filter_chain(x, [("length", F.col("n_chars") >= 500), ("quality", F.col("quality") == 1), ("toxic", F.col("toxic") == 0)]).select("doc_id", "reason", "kept")
 
 
-@query(f"""WITH {CELLS} SELECT a.slide_id AS slide_a, b.slide_id AS slide_b, count(*) AS overlap FROM cells a JOIN cells b ON a."row" = b."row" AND a.col = b.col AND a.slide_id < b.slide_id GROUP BY ALL""")
+DENSE = f"""c2 AS (SELECT *, sum(n) OVER (PARTITION BY slide_id) total FROM c0), dense AS (SELECT slide_id, "row", col FROM c2 WHERE n * {SIDE * SIDE} * 10 > total * 7)"""
+
+
+@query(f"""WITH {CELLS}, {DENSE}, r AS (SELECT slide_id, count(*) reference_area FROM dense GROUP BY slide_id), a AS (SELECT slide_id, count(*) area FROM cells GROUP BY slide_id), o AS (SELECT slide_id, count(*) overlap FROM cells JOIN dense USING (slide_id, "row", col) GROUP BY slide_id) SELECT slide_id, area, reference_area, coalesce(overlap, 0) AS overlap, round(coalesce(overlap, 0) / reference_area::DOUBLE, 9) AS recall FROM a JOIN r USING (slide_id) LEFT JOIN o USING (slide_id)""")
 def mask_overlap(spark, sf_dir):
-    c = fx.mask_cells(spark, sf_dir)
-    a, b = c.withColumnRenamed("slide_id", "slide_a"), c.withColumnRenamed("slide_id", "slide_b")
-    return a.join(b, ["row", "col"]).where("slide_a < slide_b").groupBy("slide_a", "slide_b").agg(F.count("*").alias("overlap"))
+    """Pixels that a slide's candidate region shares with its density region, by one pass over both."""
+    both = fx.mask_cells(spark, sf_dir).withColumn("c", F.lit(1)).withColumn("d", F.lit(0)).union(fx.mask_cells(spark, sf_dir, 0.7).withColumn("c", F.lit(0)).withColumn("d", F.lit(1)))
+    pixel = both.groupBy("slide_id", "row", "col").agg(F.max("c").alias("c"), F.max("d").alias("d"))
+    g = pixel.groupBy("slide_id").agg(F.sum("c").alias("area"), F.sum("d").alias("reference_area"), F.sum(F.col("c") * F.col("d")).alias("overlap"))
+    return g.withColumn("recall", F.round(F.col("overlap") / F.col("reference_area"), 9))
 
 
 CIRCLES = """circles AS (SELECT s_nationkey slide_id, s_suppkey i, s_suppkey * 37 % 1000 x, s_suppkey * 91 % 300 y, 40 + s_suppkey % 60 r FROM supplier), top AS (SELECT *, row_number() OVER (PARTITION BY slide_id ORDER BY r DESC, i) rn FROM circles), four AS (SELECT * FROM top WHERE rn <= 4)"""
@@ -247,27 +261,38 @@ def circles(spark, sf_dir):
     return fx.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("slide_id"), k.alias("i"), (k * 37 % 1000).alias("x"), (k * 91 % 300).alias("y"), (40 + k % 60).alias("r"))
 
 
-@query(f"""WITH {CIRCLES}, p AS (SELECT a.slide_id, a.i a, b.i b, abs(a.x - b.x) dx, least(a.r, b.r) * 1.0::DOUBLE / greatest(a.r, b.r) ratio, row_number() OVER (PARTITION BY a.slide_id ORDER BY abs(a.x - b.x) DESC, a.i, b.i) n FROM four a JOIN four b ON a.slide_id = b.slide_id AND a.i < b.i) SELECT slide_id, a, b, dx, ratio, ratio >= 0.55 AND dx >= 2.3 * 40 AS accepted FROM p WHERE n = 1""")
+@query(f"""WITH {CIRCLES}, p AS (SELECT a.slide_id, a.i a, b.i b, abs(a.x - b.x) dx, least(a.r, b.r) * 1.0::DOUBLE / greatest(a.r, b.r) ratio, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / ((a.r + b.r) / 2.0::DOUBLE) apart, abs(a.y - b.y) / 300.0::DOUBLE tilt, row_number() OVER (PARTITION BY a.slide_id ORDER BY abs(a.x - b.x) DESC, a.i, b.i) n FROM four a JOIN four b ON a.slide_id = b.slide_id AND a.i < b.i) SELECT slide_id, a, b, dx, round(ratio, 9) AS ratio, round(apart, 9) AS apart, ratio >= 0.55 AND apart >= 2.3 AND tilt <= 0.22 AS accepted FROM p WHERE n = 1""")
 def circle_pairs(spark, sf_dir):
-    w = Window.partitionBy("slide_id").orderBy(F.col("r").desc(), "i")
-    four = circles(spark, sf_dir).withColumn("rn", F.row_number().over(w)).where("rn <= 4").select("slide_id", F.struct("i", "x", "r").alias("c"))
-    p = four.select("slide_id", F.col("c").alias("p")).join(four.select("slide_id", F.col("c").alias("q")), "slide_id").where("p.i < q.i")
-    p = p.select("slide_id", F.col("p.i").alias("a"), F.col("q.i").alias("b"), F.abs(F.col("p.x") - F.col("q.x")).alias("dx"), (F.least("p.r", "q.r") / F.greatest("p.r", "q.r")).alias("ratio"))
-    best = p.withColumn("n", F.row_number().over(Window.partitionBy("slide_id").orderBy(F.col("dx").desc(), "a", "b"))).where("n = 1").drop("n")
-    return best.withColumn("accepted", (F.col("ratio") >= 0.55) & (F.col("dx") >= 2.3 * 40))
+    """Of the four largest circles of a slide the pair that is farthest apart sideways, and whether radii, distance and heights fit."""
+    four = circles(spark, sf_dir).groupBy("slide_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("r")).alias("k"), "i", "x", "y", "r"))), 1, 4).alias("c"))
+    pairs = F.flatten(F.transform("c", lambda p: F.transform(F.filter("c", lambda q: p["i"] < q["i"]), lambda q: F.struct((-F.abs(p["x"] - q["x"])).alias("k"), p["i"].alias("a"), q["i"].alias("b"), p.alias("p"), q.alias("q")))))
+    m = four.select("slide_id", F.get(F.array_sort(pairs), F.lit(0)).alias("m")).where("m is not null").select("slide_id", "m.*")
+    d = lambda k: F.col(f"p.{k}") - F.col(f"q.{k}")
+    apart = F.sqrt(d("x") * d("x") + d("y") * d("y")) / ((F.col("p.r") + F.col("q.r")) / 2)
+    ratio = F.least("p.r", "q.r") / F.greatest("p.r", "q.r")
+    return m.select("slide_id", "a", "b", (-F.col("k")).alias("dx"), F.round(ratio, 9).alias("ratio"), F.round(apart, 9).alias("apart"), ((ratio >= 0.55) & (apart >= 2.3) & (F.abs(d("y")) / 300.0 <= 0.22)).alias("accepted"))
 
 
-@query(f"""WITH {CIRCLES}, c AS (SELECT c_nationkey slide_id, min(c_custkey) k FROM customer GROUP BY c_nationkey), d AS (SELECT c.slide_id, t.i, sqrt((t.x - k % 1000) * (t.x - k % 1000) + (t.y - k % 300) * (t.y - k % 300)) distance, r, row_number() OVER (PARTITION BY c.slide_id ORDER BY (t.x - k % 1000) * (t.x - k % 1000) + (t.y - k % 300) * (t.y - k % 300), t.i) n FROM c JOIN circles t USING (slide_id)) SELECT slide_id, i, round(distance, 6) AS distance, greatest(r, 60) AS radius FROM d WHERE n = 1 AND distance <= 500""")
+@query(f"""WITH {CIRCLES}, c AS (SELECT c_nationkey slide_id, c_custkey k, c_custkey % 1000 cx, c_custkey * 7 % 300 cy, 40 + c_custkey % 60 cr FROM customer), d AS (SELECT c.slide_id, k, cr, t.i, t.r, sqrt((t.x - cx) * (t.x - cx) + (t.y - cy) * (t.y - cy)) distance FROM c JOIN circles t ON c.slide_id = t.slide_id AND (t.x < 500) = (cx < 500)), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY distance, i) n FROM d WHERE distance <= 0.28 * 300) SELECT k AS content, slide_id, i AS nearest, round(distance, 6) AS distance, greatest(r, cr) AS radius FROM n WHERE n = 1""")
 def nearest_candidate(spark, sf_dir):
-    c = fx.table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("slide_id")).agg(F.min("c_custkey").alias("k"))
-    d2 = F.pow(F.col("x") - F.col("k") % 1000, 2) + F.pow(F.col("y") - F.col("k") % 300, 2)
-    d = circles(spark, sf_dir).join(c, "slide_id").groupBy("slide_id").agg(F.min_by(F.struct("i", d2.alias("d2"), "r"), F.struct(d2, "i")).alias("m"))
-    return d.select("slide_id", F.col("m.i").alias("i"), F.round(F.sqrt("m.d2"), 6).alias("distance"), F.greatest(F.col("m.r"), F.lit(60)).alias("radius")).where("distance <= 500")
+    """The candidate next to each content circle, on its side and within 0.28 of the shorter side; the larger radius counts."""
+    k = F.col("c_custkey")
+    c = fx.table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("slide_id"), k.alias("content"), (k % 1000).alias("cx"), (k * 7 % 300).alias("cy"), (40 + k % 60).alias("cr"))
+    near = circles(spark, sf_dir).join(c, "slide_id").where((F.col("x") < 500) == (F.col("cx") < 500))
+    distance = F.sqrt((F.col("x") - F.col("cx")) * (F.col("x") - F.col("cx")) + (F.col("y") - F.col("cy")) * (F.col("y") - F.col("cy")))
+    near = near.withColumn("distance", distance).where(F.col("distance") <= 0.28 * 300)
+    m = near.groupBy("content").agg(F.min(F.struct("distance", "i", "slide_id", F.greatest("r", "cr").alias("radius"))).alias("m"))
+    return m.select("content", "m.slide_id", F.col("m.i").alias("nearest"), F.round("m.distance", 6).alias("distance"), "m.radius")
+
+
+TILE = 'CASE WHEN {0} < 6 THEN {0} // 2 ELSE {0} - 3 END'
 
 
-@query(f"""WITH {RASTER}, t AS (SELECT slide_id, "row" // 4 tr, col // 4 tc, avg(CASE WHEN v > 0.05 THEN 1.0::DOUBLE ELSE 0 END) f FROM raster GROUP BY ALL) SELECT slide_id, min(f) AS min_stain FROM t GROUP BY slide_id""")
+@query(f"""WITH {RASTER}, t AS (SELECT slide_id, {TILE.format('"row"')} tr, {TILE.format('col')} tc, avg(CASE WHEN v > 0.05 THEN 1.0::DOUBLE ELSE 0 END) f FROM raster GROUP BY ALL) SELECT slide_id, min(f) AS min_stain FROM t GROUP BY slide_id""")
 def tile_min_stain(spark, sf_dir):
-    t = fx.rasters(spark, sf_dir).groupBy("slide_id", F.floor(F.col("row") / 4).alias("tr"), F.floor(F.col("col") / 4).alias("tc")).agg(F.avg(F.when(F.col("v") > 0.05, 1.0).otherwise(0.0)).alias("f"))
+    """The least share of stain in 5 x 5 tiles; where 8 is not 5 equal parts, the first ones are longer by one."""
+    part = lambda c: F.when(F.col(c) < 6, F.floor(F.col(c) / 2)).otherwise(F.col(c) - 3)
+    t = fx.rasters(spark, sf_dir).groupBy("slide_id", part("row").alias("tr"), part("col").alias("tc")).agg(F.avg(F.when(F.col("v") > 0.05, 1.0).otherwise(0.0)).alias("f"))
     return t.groupBy("slide_id").agg(F.min("f").alias("min_stain"))
 
 
@@ -315,13 +340,13 @@ def gaussian_blur_8x8(spark, sf_dir):
     return blurred(spark, sf_dir).select("slide_id", "row", "col", F.round("v", 6).alias("v"))
 
 
-@query(f"""WITH {BLUR}, e AS (SELECT a.slide_id, a."row", a.col, sum(CASE WHEN b."row" = a."row" AND b.col = a.col THEN 0 ELSE b.v END) - 4 * any_value(a.v) l FROM blurred a JOIN blurred b ON a.slide_id = b.slide_id AND abs(a."row" - b."row") + abs(a.col - b.col) = 1 WHERE a."row" BETWEEN 1 AND 6 AND a.col BETWEEN 1 AND 6 GROUP BY ALL) SELECT slide_id, round(stddev_pop(l), 6) AS laplacian_std FROM e GROUP BY slide_id""")
+@query(f"""WITH {BLUR}, k2 AS (SELECT * FROM (VALUES (-1, -1, 2.0::DOUBLE), (-1, 1, 2), (1, -1, 2), (1, 1, 2), (0, 0, -8)) t(dr, dc, w)), l AS (SELECT a.slide_id, a."row", a.col, sum(b.v * w) v FROM blurred a CROSS JOIN k2 JOIN blurred b ON b.slide_id = a.slide_id AND b."row" = {_mirror('(a."row" + dr)')} AND b.col = {_mirror('(a.col + dc)')} GROUP BY ALL) SELECT slide_id, round(stddev_pop(v), 6) AS laplacian_std FROM l GROUP BY slide_id""")
 def laplacian_std(spark, sf_dir):
-    b = blurred(spark, sf_dir)
-    arms = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c"), F.lit(w).alias("w")) for r, c, w in ((0, 0, -4.0), (1, 0, 1.0), (-1, 0, 1.0), (0, 1, 1.0), (0, -1, 1.0))])
-    x = b.withColumn("k", F.explode(arms)).select("slide_id", (F.col("row") + F.col("k.r")).alias("row"), (F.col("col") + F.col("k.c")).alias("col"), (F.col("v") * F.col("k.w")).alias("v"))
-    x = x.where("row BETWEEN 1 AND 6 AND col BETWEEN 1 AND 6").groupBy("slide_id", "row", "col").agg(F.sum("v").alias("l"))
-    return x.groupBy("slide_id").agg(F.round(F.stddev_pop("l"), 6).alias("laplacian_std"))
+    """Deviation of the 3 x 3 Laplacian, mirrored at the edges: its corners are a product of two stencils."""
+    b, ends = blurred(spark, sf_dir), {-1: 1.0, 1: 1.0}
+    corners = stencil(stencil(b, "col", ends), "row", ends).withColumn("v", 2 * F.col("v"))
+    l = corners.unionByName(b.withColumn("v", -8 * F.col("v"))).groupBy("slide_id", "row", "col").agg(F.sum("v").alias("v"))  # noqa: E741
+    return l.groupBy("slide_id").agg(F.round(F.stddev_pop("v"), 6).alias("laplacian_std"))
 
 
 @query(f"""WITH {RASTER}, d AS (SELECT a.slide_id, a."row", a.col, max(b.v) v FROM raster a JOIN raster b ON a.slide_id = b.slide_id AND abs(a."row" - b."row") <= 1 AND abs(a.col - b.col) <= 1 GROUP BY ALL) SELECT a.slide_id, a."row", a.col, min(b.v) AS v FROM d a JOIN d b ON a.slide_id = b.slide_id AND abs(a."row" - b."row") <= 1 AND abs(a.col - b.col) <= 1 GROUP BY ALL""")
@@ -341,8 +366,13 @@ def qc_decision(spark, sf_dir):
 
 @query("""WITH n AS (SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 i, value FROM events) SELECT event_type, CAST(i // 128 AS BIGINT) AS batch, count(*) AS patches, round(sum(value), 4) AS seconds FROM n GROUP BY ALL""")
 def qc_microbatch(spark, sf_dir):
-    i = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id")) - 1
-    n = fx.table(spark, sf_dir, "events").select("event_type", F.floor(i / 128).cast("long").alias("batch"), "value")
+    """Batches of 128 in order of time. Rows are ranked within a day; days are offset by the sums of those before, a small table."""
+    e = fx.table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value", F.to_date("ts").alias("day"))
+    days = e.groupBy("event_type", "day").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("event_type").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    i = F.row_number().over(Window.partitionBy("event_type", "day").orderBy("ts", "event_id")) - 1
+    n = e.withColumn("i", i).join(days.select("event_type", "day", before.alias("before")), ["event_type", "day"])
+    n = n.select("event_type", F.floor((F.col("before") + F.col("i")) / 128).cast("long").alias("batch"), "value")
     return n.groupBy("event_type", "batch").agg(F.count("*").alias("patches"), F.round(F.sum("value"), 4).alias("seconds"))
 
 
@@ -351,12 +381,12 @@ RESULTS = f"""{RECORDS}, g AS (SELECT slide_id, count(*) FILTER (WHERE status IN
 
 @query(f"""WITH {RESULTS} SELECT count(*) AS slides, count(*) FILTER (WHERE status = 'success') AS success, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'skipped') AS skipped, CAST(coalesce(sum(patches), 0) AS BIGINT) AS patches, CASE WHEN count(*) > 0 AND count(*) FILTER (WHERE status = 'failed') = 0 THEN 'success' ELSE 'partial' END AS status FROM results""")
 def run_summary(spark, sf_dir):
-    return report.summary(report.slide_results(fx.records(spark, sf_dir)))
+    return report.summary(report.slide_results(fx.records(spark, sf_dir), fx.MOST_FAILURES))
 
 
 @query(f"""WITH {RESULTS} SELECT slide_id, patches, status, CASE WHEN status = 'failed' THEN 'error' WHEN status = 'skipped' AND error IS NOT NULL THEN 'warning' ELSE 'info' END AS level FROM results""")
 def slide_log_level(spark, sf_dir):
-    return report.with_level(report.slide_results(fx.records(spark, sf_dir))).select("slide_id", "patches", "status", "level")
+    return report.with_level(report.slide_results(fx.records(spark, sf_dir), fx.MOST_FAILURES)).select("slide_id", "patches", "status", "level")
 
 
 @query(f"""WITH {RECORDS} SELECT slide_id, round(sum(elapsed), 4) AS seconds, count(*) AS patches, round(count(*) / greatest(sum(elapsed), 1e-9), 6) AS patches_per_second FROM records GROUP BY slide_id""")
@@ -369,10 +399,13 @@ def progress_ticks(spark, sf_dir):
     return report.ticks(fx.records(spark, sf_dir), "index").select("slide_id", "index", "n")
 
 
-@query("""SELECT sha256('{"level":0,"patch_size":600,"regions":' || count(*) || '}') AS signature FROM region""")
+@query("""WITH c AS (SELECT p_brand run, '{"level":' || p_partkey % 2 || ',"patch_size":' || 16 * p_size || ',"type":"' || p_type || '"}' settings FROM part) SELECT run, count(*) AS starts, min(sha256(settings)) AS signature, min(settings) <> max(settings) AS conflict FROM c GROUP BY run""")
 def config_signature(spark, sf_dir):
-    n = fx.table(spark, sf_dir, "region").agg(F.count("*").alias("n"))
-    return n.select(F.sha2(F.concat(F.lit('{"level":0,"patch_size":600,"regions":'), F.col("n").cast("string"), F.lit("}")), 256).alias("signature"))
+    """Signatures of the settings that runs were started with; a run with several settings is a conflict."""
+    p = fx.table(spark, sf_dir, "part")
+    settings = F.to_json(F.struct((F.col("p_partkey") % 2).alias("level"), (16 * F.col("p_size")).alias("patch_size"), F.col("p_type").alias("type")))
+    c = p.select(F.col("p_brand").alias("run"), F.sha2(settings, 256).alias("s"))
+    return c.groupBy("run").agg(F.count("*").alias("starts"), F.min("s").alias("signature"), (F.min("s") != F.max("s")).alias("conflict"))
 
 
 @query("""WITH d AS (SELECT s_suppkey i, 's' || s_suppkey uuid, CAST(s_acctbal * 1000 AS BIGINT) free FROM supplier), t AS (SELECT unnest(['s1', '7', 's2', '3']) token) SELECT i, uuid, free FROM d WHERE EXISTS (SELECT 1 FROM t WHERE token = CAST(i AS VARCHAR) OR starts_with(uuid, token)) AND free >= 1000 ORDER BY free DESC, i DESC LIMIT 1""")
@@ -380,3 +413,6 @@ def device_pick(spark, sf_dir):
     d = fx.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("i"), F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("uuid"), (F.col("s_acctbal") * 1000).cast("long").alias("free"))
     seen = F.exists(F.array(*map(F.lit, ("s1", "7", "s2", "3"))), lambda t: (t == F.col("i").cast("string")) | F.startswith(F.col("uuid"), t))
     return d.where(seen & (F.col("free") >= 1000)).orderBy(F.col("free").desc(), F.col("i").desc()).limit(1)
+
+
+from . import more  # noqa: E402, F401  registers its queries

@@ -49,6 +49,29 @@ def test_coverage_by_brute_force(spark):
         assert (r.total, r.area) == (on, (right - left) * (bottom - top))
 
 
+def test_samples_are_those_of_the_libraries(spark):
+    """sample_random takes what NumPy's generator chooses, bottom_k_blake2b what the hash orders first."""
+    import hashlib
+
+    plans = registry.fraction_plans(spark, SF).toPandas()
+    got = registry.QUERIES["sample_random"](spark, SF).toPandas()
+    for slide, rows in plans.groupby("slide_id"):
+        rows = rows.sort_values("index").reset_index(drop=True)
+        mine = got[got.slide_id == slide].sort_values("index")
+        assert len(mine) == min(25, len(rows))
+        places = np.sort(np.random.default_rng(0).choice(len(rows), 25, replace=False)) if len(rows) > 25 else np.arange(len(rows))
+        assert (mine[["x0", "y0"]].to_numpy() == rows[["x0", "y0"]].to_numpy()[places]).all()
+        order = np.random.default_rng(3).permutation(len(rows))[:8].tolist()
+        first = registry.QUERIES["preview_permutation"](spark, SF).where(f"slide_id = {slide}").orderBy("place").collect()
+        assert [r["index"] for r in first] == order
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source").toPandas()
+    docs["score"] = [hashlib.blake2b(f"0:{i}".encode(), digest_size=8).hexdigest() for i in docs.doc_id]
+    want = docs.sort_values(["source", "score", "doc_id"]).groupby("source").head(5)
+    got = registry.QUERIES["bottom_k_blake2b"](spark, SF).toPandas()
+    assert set(zip(got.source, got.doc_id, got.score)) == set(zip(want.source, want.doc_id, want.score))
+    assert (got.sort_values(["source", "rank"]).groupby("source")["rank"].apply(list).str[0] == 1).all()
+
+
 def test_entry_point_without_the_other_package(spark):
     import __spark_entry__
 
