@@ -87,7 +87,7 @@ def device_inventory(spark, sf_dir):
     s, k = fx.table(spark, sf_dir, "supplier"), F.col("s_suppkey").cast("string")
     free = F.floor(F.abs("s_acctbal")).cast("string")
     line = F.concat(k, F.lit(", GPU-"), k, F.lit(", 0000:"), F.col("s_nationkey").cast("string"), F.lit(", "), free, F.when(F.col("s_suppkey") % 9 == 0, "").otherwise(", 24576"))
-    f = s.select(F.col("s_suppkey").alias("i"), F.transform(F.split(line, ","), F.trim).alias("f")).withColumn("bad", F.size("f") != 5)
+    f = s.select(F.col("s_suppkey").alias("i"), F.transform(F.split(line, ","), lambda x: F.trim(x)).alias("f")).withColumn("bad", F.size("f") != 5)
     mib = lambda n: F.when(~F.col("bad"), F.get("f", F.lit(n)).cast("long") * 1048576).otherwise(0)
     return f.select("i", F.when(~F.col("bad"), F.get("f", F.lit(1))).alias("uuid"), mib(3).alias("free"), mib(4).alias("total"), "bad")
 
