@@ -5,9 +5,12 @@ Words fall into classes: insult, threat, target, negation, reported speech, othe
 table from state and class to state and weight. A clause scores what the composed machine emits over it, a text scores
 over its clauses, so that an offence that is negated or only reported counts less than one aimed at somebody.
 
-The offence stems are learned: prefixes of words that are frequent in texts labelled toxic and rare in others, by counts over
-the labelled training rows, MOST_LABELS of them at most. Their log-odds are the arc weights. A stem needs MIN_TEXTS toxic texts, whatever
-their share, and odds that hold on the careful side of both counts; MOST_STEMS candidates, those with the best odds, bound the table.
+The offences are learned by counts over the labelled training rows, MOST_LABELS of them at most: whole words, and stems where
+words branch, that is, beginnings of which no single continuation accounts for most; frequent in texts labelled toxic and rare in others. Each toxic
+text speaks only for the offence in it that has the best odds, so that words that merely stand beside offences are not learned. An offence
+needs MIN_TEXTS such texts, whatever their share, and odds that hold on the careful side of both counts; its log-odds are the arc
+weight. MOST_STEMS candidates, those with the best odds, bound the table. A whole word of five letters or more stands for its
+inflections, up to ENDING letters longer, but for words that clean texts have.
 
 Defined cases: null and empty texts score PRIOR; rows with null labels teach nothing; a doc_id that is labelled twice as
 different kinds counts in both; repeated rows stay rows; without labels only the fixed words count; an empty table
@@ -31,7 +34,11 @@ PRIOR = 0.03
 MIN_TEXTS, RATIO = 5, 5.0
 #: Most candidates for stems, by their odds, that reach the driver (about 30 bytes each).
 MOST_STEMS = 200_000
-STEM_LENGTHS = range(3, 9)
+LEAST_LETTERS, LEAST_INFLECTED, ENDING = 3, 5, 3
+#: Lengths of stems, and how much oftener than its most frequent continuation a stem has to be.
+STEM_LENGTHS, BRANCHING = range(4, 9), 1.25
+#: A beginning is less sure than a word: so much of its log-odds counts (from training rows: 0.95 of what is found is toxic, 0.73 at 1).
+SURENESS = 0.5
 #: Most labelled rows to learn from; of more, those whose doc_id has the least hashes. So many rows (12 bytes each) are broadcast.
 MOST_LABELS = 200_000
 
@@ -59,8 +66,8 @@ class Transducer:
 OFFENCE = Transducer({(0, INSULT): (1, 1.0, 1.0), (1, INSULT): (1, 1.0, 1.0), (0, TARGETS): (2, 0.0, 1.0), (2, INSULT): (1, 1.25, 1.0), (1, TARGETS): (2, 0.25, 1.0)})
 #: A threat counts only together with a target.
 THREATENING = Transducer({(0, TARGETS): (1, 0.0, 1.0), (1, THREATS): (2, 0.5, 1.0), (0, THREATS): (3, 0.0, 1.0), (3, TARGETS): (2, 0.5, 1.0)})
-#: Negation right before damps the next offence; the word after that is free again.
-NEGATING = Transducer({(0, NEG): (1, 0.0, 1.0), (1, INSULT): (0, 0.0, 0.6), (1, THREATS): (0, 0.0, 0.3), (1, OTHER): (0, 0.0, 1.0), (1, TARGETS): (1, 0.0, 1.0)})
+#: Negation damps what follows in its clause.
+NEGATING = Transducer({(0, NEG): (1, 0.0, 1.0), (1, INSULT): (1, 0.0, 0.6), (1, THREATS): (1, 0.0, 0.3)})
 REPORTING = Transducer({(0, REP): (1, 0.0, 1.0), (1, INSULT): (1, 0.0, 0.7), (1, THREATS): (1, 0.0, 0.4)})
 
 
@@ -82,21 +89,29 @@ def compose(*parts: Transducer) -> dict:
 
 
 class Grammar:
+    """stems: weights of offences. Those with a star at the end are beginnings of words, others are words and begin their
+    inflections; the weight is 0 for a word that is none although it begins like one."""
+
     def __init__(self, stems: dict[str, float]):
         import ahocorasick
 
         self.table = compose(OFFENCE, THREATENING, NEGATING, REPORTING)
-        self.stems = stems
+        self.words = {s: w for s, w in stems.items() if not s.endswith("*")}
+        self.stems = {s[:-1]: w for s, w in stems.items() if s.endswith("*")}
+        self.lengths = sorted({len(s) for s in self.stems})
         self.fixed = {w: k for ws, k in ((TARGET, TARGETS), (NEGATION, NEG), (REPORT, REP), (THREAT, THREATS)) for w in ws}
-        self.lengths = sorted({len(s) for s in stems})
         self.find = ahocorasick.Automaton()
-        for s in {*stems, *THREAT}:
+        for s in {*(s for s, w in self.words.items() if w), *self.stems, *THREAT}:
             self.find.add_word(s, len(s))
         if len(self.find):
             self.find.make_automaton()
 
     def kind(self, word: str) -> tuple[int, float]:
-        w = max((self.stems.get(word[:n], 0.0) for n in self.lengths if n <= len(word)), default=0.0)
+        w = self.words.get(word)
+        if w is None:
+            inflected = (self.words.get(word[:n], 0.0) for n in range(max(LEAST_INFLECTED, len(word) - ENDING), len(word)))
+            begun = (self.stems.get(word[:n], 0.0) for n in self.lengths if n <= len(word))
+            w = max((*inflected, *begun), default=0.0)
         return (INSULT, w) if w else (self.fixed.get(word, OTHER), 4.0)
 
     def clause(self, text: str) -> float:
@@ -124,41 +139,51 @@ class Grammar:
         return 1 / (1 + math.exp(min(50.0, -(math.log(PRIOR / (1 - PRIOR)) + total))))
 
 
-def prefixes(text: Column) -> Column:
-    """The distinct prefixes, of STEM_LENGTHS, of the words of a text."""
-    words = F.array_distinct(F.split(F.lower(text), "[^\\p{L}]+"))
-    long = F.filter(words, lambda w: F.length(w) >= STEM_LENGTHS[0])
-    return F.array_distinct(F.flatten(F.transform(long, lambda w: F.transform(F.sequence(F.lit(STEM_LENGTHS[0]), F.least(F.length(w), F.lit(STEM_LENGTHS[-1]))), lambda n: F.substr(w, F.lit(1), n)))))
+def words(text: Column) -> Column:
+    """The distinct words of a text."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), "[^\\p{L}]+")), lambda w: F.length(w) >= LEAST_LETTERS)
+
+
+def _begun(rows: DataFrame, longest: int) -> DataFrame:
+    """Words s with all their beginnings (a star at the end) of the lengths of stems, up to longest, and themselves, as key."""
+    cut = F.transform(F.sequence(F.lit(STEM_LENGTHS[0]), F.least(F.length("s"), F.lit(longest))), lambda n: F.concat(F.substr("s", F.lit(1), n), F.lit("*")))
+    return rows.withColumn("key", F.explode(F.concat(F.array("s"), F.when(F.length("s") >= STEM_LENGTHS[0], cut).otherwise(F.array().cast("array<string>")))))
 
 
 def learn_stems(labelled: DataFrame) -> dict[str, float]:
-    """labelled: text, toxic. Stem to log-odds."""
+    """labelled: text, toxic. Offence to log-odds, and 0 for words of clean texts that only begin like one."""
     labelled = labelled.where("toxic is not null and text is not null")
     totals = {r[0]: r[1] for r in labelled.groupBy(F.col("toxic") == 1).count().collect()}
     n_toxic, n_clean = totals.get(True, 0), totals.get(False, 0)
     if not n_toxic:
         return {}
-    toxic = stored(labelled.where("toxic = 1").select(F.explode(prefixes(F.col("text"))).alias("s")).groupBy("s").agg(F.count("*").alias("t")).where(F.col("t") >= MIN_TEXTS), "stems")
-    clean = labelled.where("toxic != 1").select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+"))).alias("w"))
-    clean = clean.groupBy("w").agg(F.count("*").alias("c")).select(F.explode(F.sequence(F.lit(STEM_LENGTHS[0]), F.lit(STEM_LENGTHS[-1]))).alias("n"), "w", "c").where(F.length("w") >= F.col("n"))
-    # a prefix's texts are no more than its words' texts: a bound that serves here, as good stems are in almost no clean text
-    clean = clean.select(F.substr("w", F.lit(1), F.col("n")).alias("s"), "c").join(toxic.select("s"), "s").groupBy("s").agg(F.sum("c").alias("c"))
-    rows = toxic.join(clean, "s", "left").select("s", "t", F.coalesce("c", F.lit(0)).alias("c"))
-    rows = rows.where((F.col("t") + 0.5) / (n_toxic + 1) > RATIO * F.col("c") / (n_clean + 1))
-    careful = (F.col("t") - 1.5 * F.sqrt("t")) / (F.col("c") + 1 + 1.5 * F.sqrt(F.col("c") + 1))
-    rows = [(odds(t, c, n_toxic, n_clean), s, t, c) for s, t, c in rows.orderBy(careful.desc(), "s").limit(MOST_STEMS).collect()]
-    good: dict[str, tuple[float, int, int]] = {}
-    under: dict[str, list[str]] = {}
-    for w, s, t, c in sorted(rows, key=lambda x: (-round(x[0], 1), len(x[1]), x[1])):
-        if any(s[:n] in good for n in range(STEM_LENGTHS[0], len(s))):
-            continue  # a shorter stem, as good, stands for it
-        longer = under.get(s, [])
-        t, c = t - sum(good[x][1] for x in longer), max(0, c - sum(good[x][2] for x in longer))
-        if t >= MIN_TEXTS and (w := odds(t, c, n_toxic, n_clean)) >= math.log(RATIO):
-            good[s] = (w, t, c)
-            for n in range(STEM_LENGTHS[0], len(s)):
-                under.setdefault(s[:n], []).append(s)
-    return {s: w for s, (w, _, _) in good.items()}
+    longest = STEM_LENGTHS[-1] + 1
+    spoken = _begun(labelled.where("toxic = 1").select(F.monotonically_increasing_id().alias("i"), F.explode(words(F.col("text"))).alias("s")), longest)
+    toxic = stored(spoken.select("i", "key").distinct(), "words")
+    counts = stored(toxic.groupBy("key").agg(F.count("*").alias("t")).where(F.col("t") >= MIN_TEXTS), "counts")
+    # of a beginning the most frequent continuation: by a letter, or as a word that ends here
+    bare = F.rtrim("key", F.lit("*"))
+    starred = F.endswith("key", F.lit("*"))
+    parent = F.concat(F.when(starred, F.substr(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare), F.lit("*"))
+    most = counts.groupBy(parent.alias("key")).agg(F.max("t").alias("most"))
+    seen = counts.join(most, "key", "left").where(~starred | ((F.length(bare) < longest) & (F.col("t") >= BRANCHING * F.coalesce("most", F.lit(0)))))
+    clean = stored(labelled.where("toxic != 1").select(F.explode(words(F.col("text"))).alias("s")).groupBy("s").agg(F.count("*").alias("c")), "words")
+    # a beginning's texts are no more than its words' texts: a bound that serves here, as offences are in almost no clean text
+    held = _begun(clean, STEM_LENGTHS[-1]).join(seen.select("key"), "key").groupBy("key").agg(F.sum("c").alias("c"))
+    rows = seen.join(held, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    careful = lambda t, c: F.log((F.greatest(F.lit(0.5), t - 1.5 * F.sqrt(t))) / (n_toxic + 1)) - F.log((c + 1 + 1.5 * F.sqrt(c + 1)) / (n_clean + 1))
+    rows = rows.withColumn("w", careful(F.col("t"), F.col("c"))).where(F.col("w") >= math.log(RATIO)).orderBy(F.col("w").desc(), "key").limit(MOST_STEMS)
+    rows = stored(rows, "candidates")
+    best = toxic.join(F.broadcast(rows.select("key", "w")), "key").groupBy("i").agg(F.max(F.struct("w", F.length("key"), "key"))["key"].alias("key"))
+    own = best.groupBy("key").agg(F.count("*").alias("own")).where(F.col("own") >= MIN_TEXTS).join(rows.select("key", "c"), "key")
+    good = {s: odds(t, c, n_toxic, n_clean) for s, t, c in own.collect()}
+    good = {s: w * (SURENESS if s.endswith("*") else 1) for s, w in good.items() if w >= math.log(RATIO)}
+    long = [s for s in good if len(s) >= LEAST_INFLECTED and not s.endswith("*")]
+    if long:  # words of clean texts that begin like an offence, and are none
+        ends = F.explode(F.sequence(F.lit(1), F.lit(ENDING)))
+        near = clean.select("s", ends.alias("n")).where(F.length("s") >= F.col("n") + LEAST_INFLECTED).where(F.substr("s", F.lit(1), F.length("s") - F.col("n")).isin(long))
+        good = {r[0]: 0.0 for r in near.select("s").distinct().orderBy("s").limit(MOST_STEMS).collect() if r[0] not in good} | good
+    return good
 
 
 def odds(t: int, c: int, n_toxic: int, n_clean: int) -> float:

@@ -167,7 +167,8 @@ def test_toxicity_grammar():
     assert g.score("") == g.score(None) < 0.3
     aimed, plain, denied, told = (g.score(t) for t in ("you are an idiot", "an idiot", "he is not idiot", "she said idiot"))
     assert aimed > plain > 0.3 and denied < aimed and told < aimed
-    assert g.score("a fidiot here") < 0.3
+    assert g.score("a fidiot here") < 0.3 and g.score("idiots") == g.score("idiot") > 0.3 > g.score("idiotproof")
+    assert Grammar({"idiot": 4.0, "idiotic": 0.0}).score("idiotic") < 0.3
 
 
 def test_toxicity_query(spark, sf):
@@ -175,6 +176,24 @@ def test_toxicity_query(spark, sf):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.3) for r in got.itertuples())
 
 
+def test_toxicity_of_held_out_labels(spark):
+    """Learned on the rows that may be learned from, held against the others."""
+    from tesselith.llm import toxicity
+
+    top = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{top}/documents.parquet"), spark.read.parquet(f"{top}/labels.parquet")
+    stems = toxicity.learn_stems(toxicity.training_rows(docs, labels))
+    out = toxicity.score_documents(docs, stems).join(labels, "doc_id").where("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2")
+    n = collections.Counter((r.toxic, r.score >= toxicity.THRESHOLD) for r in out.select("toxic", "score").collect())
+    found, wrong = n[1, True], n[0, True]
+    print(n)
+    assert found / (found + n[1, False]) >= 0.8 and found / (found + wrong) >= 0.9
+    grammar = toxicity.Grammar(stems)
+    for text in ("let us discuss the traffic this morning", "the path to the more distant cloud", "a stupendous idea, traditionally", "I have lost my clothes", "he is closer to the moraine"):
+        assert grammar.score(text) < toxicity.THRESHOLD, text
+    assert grammar.score("you are idiots") > grammar.score("an idiot") > grammar.score("I do not think that he is an idiot")
+
+
 def test_token_counts(spark, sf):
     import sentencepiece
 
