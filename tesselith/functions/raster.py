@@ -65,6 +65,7 @@ def laplacian(x: np.ndarray) -> np.ndarray:
 
 
 def odd(value: float, least: int = 3) -> int:
+    """The next odd size from a value on, not below the least."""
     n = max(least, round(value))
     return n + 1 - n % 2
 
@@ -266,3 +267,120 @@ def resized(image: np.ndarray, width: int, height: int, lobes: int = 3) -> np.nd
         np.add.at(weights, (np.repeat(np.arange(n), at.shape[1]), np.clip(at, 0, m - 1).ravel()), w.ravel())
         x = np.moveaxis(np.tensordot(weights, x, axes=(1, axis)), 0, axis)
     return np.clip(np.rint(x), 0, 255).astype(np.uint8)
+
+
+def hsv(rgb: np.ndarray) -> np.ndarray:
+    """Hue in degrees, saturation and value in 0..255."""
+    x = rgb.astype(np.float64)
+    high, span = x.max(axis=2), np.ptp(x, axis=2)
+    r, g, b = (x[..., i] for i in range(3))
+    turn = np.where(high == r, (g - b) % np.where(span, 6 * span, 1), np.where(high == g, b - r + 2 * span, r - g + 4 * span))
+    return np.stack((np.where(span > 0, 60 * turn / np.maximum(span, 1e-12), 0.0), 255 * span / np.maximum(high, 1e-12), high), axis=-1)
+
+
+def sobel(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Differences to the right and downwards, smoothed across."""
+    p = np.pad(x.astype(np.float64), 1, mode="reflect")
+    right, down = p[:, 2:] - p[:, :-2], p[2:] - p[:-2]
+    return right[:-2] + 2 * right[1:-1] + right[2:], down[:, :-2] + 2 * down[:, 1:-1] + down[:, 2:]
+
+
+def greatest_around(x: np.ndarray, reach: int) -> np.ndarray:
+    """The greatest value in the square of that reach around each place."""
+    for axis in (0, 1):
+        p = np.pad(x, [(reach, reach) if a == axis else (0, 0) for a in (0, 1)], constant_values=-np.inf)
+        x = np.lib.stride_tricks.sliding_window_view(p, 2 * reach + 1, axis=axis).max(axis=-1)
+    return x
+
+
+def edges(image: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Thin edges of a grey image that are strong, or hang together with strong ones; and both gradients."""
+    gx, gy = sobel(image)
+    size = np.abs(gx) + np.abs(gy)
+    p = np.pad(size, 1)
+    at = lambda dy, dx: p[1 + dy : 1 + dy + size.shape[0], 1 + dx : 1 + dx + size.shape[1]]
+    steep = np.abs(gy) / np.maximum(np.abs(gx), 1e-12)
+    flat, tall, falling = steep < np.tan(np.pi / 8), steep > np.tan(3 * np.pi / 8), gx * gy > 0
+    pick = lambda a, b, c, d: np.where(flat, a, np.where(tall, b, np.where(falling, c, d)))
+    thin = (size > pick(at(0, -1), at(-1, 0), at(-1, -1), at(-1, 1))) & (size >= pick(at(0, 1), at(1, 0), at(1, 1), at(1, -1)))
+    labels, n = components(thin & (size > low))
+    strong = np.bincount(labels[thin & (size > high)], minlength=n + 1) > 0
+    strong[0] = False
+    return strong[labels], gx, gy
+
+
+def hough_circles(image: np.ndarray, dp: float, apart: float, high: float, votes: float, least: int, most: int) -> list[tuple[int, int, int]]:
+    """Circles of a grey image, best first: edge points vote along their gradients for centres, on a grid dp times as coarse; a
+    centre's radius is the one that most edge points have, for its length. A circle is then fitted to those points."""
+    edge, gx, gy = edges(image, high / 2, high)
+    y, x = np.nonzero(edge)
+    size = np.hypot(gx[y, x], gy[y, x])
+    y, x, dx, dy = (v[size > 0] for v in (y, x, gx[y, x] / np.maximum(size, 1e-12), gy[y, x] / np.maximum(size, 1e-12)))
+    h, w = (int(np.ceil(n / dp)) for n in image.shape)
+    total = np.zeros((h + 2, w + 2), np.int64)
+    for r in np.arange(least, most + 1e-9, dp):
+        for way in (-1, 1):
+            cx, cy = np.floor((x + way * r * dx) / dp).astype(np.int64), np.floor((y + way * r * dy) / dp).astype(np.int64)
+            ok = (cx >= 0) & (cx < w) & (cy >= 0) & (cy < h)
+            total[1:-1, 1:-1] += np.bincount(cy[ok] * w + cx[ok], minlength=h * w).reshape(h, w)
+    v = total[1:-1, 1:-1]
+    peak = (v > votes) & (v > total[1:-1, :-2]) & (v >= total[1:-1, 2:]) & (v > total[:-2, 1:-1]) & (v >= total[2:, 1:-1])
+    py, px = np.nonzero(peak)
+    out: list[tuple[int, int, int]] = []
+    for i in np.argsort(-v[py, px], kind="stable")[:2000].tolist():
+        cx, cy = (px[i] + 0.5) * dp, (py[i] + 0.5) * dp
+        if any((cx - a) ** 2 + (cy - b) ** 2 < apart**2 for a, b, _ in out):
+            continue
+        d = np.hypot(x - cx, y - cy)
+        n = np.bincount(np.rint(d[(d >= least) & (d <= most)]).astype(int), minlength=most + 2)
+        support = np.convolve(n, np.ones(3), "same") / np.maximum(np.arange(len(n)), 1)
+        r = int(np.argmax(support))
+        if support[r] * r > votes:
+            near = np.abs(d - r) <= max(3.0, 0.08 * r)
+            a = np.stack((x[near], y[near], np.ones(near.sum())), axis=1)
+            (p, q, c), *_ = np.linalg.lstsq(a, (a[:, :2] ** 2).sum(axis=1), rcond=None)
+            fit = p / 2, q / 2, math.sqrt(max(0.0, c + p * p / 4 + q * q / 4))
+            good = math.hypot(fit[0] - cx, fit[1] - cy) <= 0.15 * r and least <= fit[2] <= most
+            out.append(tuple(map(round, fit if good else (cx, cy, r))))
+    return out
+
+
+def otsu(image: np.ndarray) -> int:
+    """The grey level that parts an image into two classes farthest apart, the least of equals."""
+    n = np.bincount(image.astype(np.uint8).ravel(), minlength=256).astype(np.float64)
+    below, mass = np.cumsum(n), np.cumsum(n * np.arange(256))
+    rest = below[-1] - below
+    ok = (below > 0) & (rest > 0)
+    score = np.where(ok, (mass[-1] * below - mass * below[-1]) ** 2 / np.maximum(below * rest, 1e-12), -1.0)
+    return int(np.argmax(score))
+
+
+def inpainted(image: np.ndarray, gone: np.ndarray, reach: int = 5) -> np.ndarray:
+    """An image whose places that are gone are filled from their rims inwards, by means of what is known around them."""
+    out, known = image.astype(np.float64), ~gone
+    ones = np.ones(2 * reach + 1)
+    while not known.all() and known.any():
+        near = convolved(known.astype(np.float64), ones)
+        rim = ~known & (convolved(known.astype(np.float64), np.ones(3)) > 0)
+        out[rim] = (convolved(np.where(known, out, 0.0), ones) / np.maximum(near, 1e-12))[rim]
+        known = known | rim
+    return out
+
+
+def polar(image: np.ndarray, x: float, y: float, reach: int, angles: int) -> np.ndarray:
+    """Rows of angles, columns of whole radii below reach, between pixels bilinear; 0 outside the image."""
+    t = np.arange(angles)[:, None] * 2 * np.pi / angles
+    px, py = x + np.cos(t) * np.arange(reach), y + np.sin(t) * np.arange(reach)
+    p = np.pad(image.astype(np.float64), 1)
+    inside = (px > -1) & (py > -1) & (px < image.shape[1]) & (py < image.shape[0])
+    px, py = np.where(inside, px, 0) + 1, np.where(inside, py, 0) + 1
+    a, b = np.floor(px).astype(int), np.floor(py).astype(int)
+    fx, fy = px - a, py - b
+    return inside * ((p[b, a] * (1 - fx) + p[b, a + 1] * fx) * (1 - fy) + (p[b + 1, a] * (1 - fx) + p[b + 1, a + 1] * fx) * fy)
+
+
+def moments(part: np.ndarray) -> tuple[float, float, float]:
+    """Area and centre of a mask or of weights."""
+    total = float(part.sum())
+    y, x = np.indices(part.shape)
+    return total, float((x * part).sum() / max(total, 1e-12)), float((y * part).sum() / max(total, 1e-12))

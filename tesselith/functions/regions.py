@@ -192,62 +192,77 @@ def portrait_circle(image: np.ndarray, options: dict) -> Decision:
     return Decision("qmh_center_circle", "accepted", min(0.97, 0.72 + 0.23 * trust), "", mask, {"contrast": float(contrast)})
 
 
+# fixed values: settings of the radial fit and the weights of its score, in parts of the shorter side or of the canvas
+RADIAL = {
+    "radial_blue_floor": 0.5, "radial_chroma_floor": 1.5, "radial_signal_sigma_ratio": 0.003, "radial_min_radius": 0.27, "radial_max_radius": 0.36, "radial_band_ratio": 0.012,
+    "radial_angle_count": 72, "radial_center_extent": 0.09, "radial_center_step": 0.012, "preferred_radius_fraction": 0.32, "prior_center_x_fraction": 0.50, "prior_center_y_fraction": 0.41,
+    "outer_annulus_min": 0.36, "outer_annulus_max": 0.53, "outer_dark_threshold": 10.0, "min_outer_artifact_fraction": 0.025, "max_outer_artifact_fraction": 0.45,
+    "min_inner_radial_score": 0.0, "min_inner_radial_positive_support": 0.65, "min_inner_radial_mean_difference": 0.02,
+}
+SCORE = {"low": 1.0, "mean": 0.50, "spread": -0.30, "support": 0.08, "off": -0.10, "size": -0.04}
+
+
+def radial_fit(image: np.ndarray, artifact: np.ndarray, o: dict) -> dict:
+    """The circle whose inside is bluer, more colourful and darker than its outside, all around: x, y, radius, score and its parts."""
+    h, w = image.shape[:2]
+    m, rgb, x = min(h, w), image.astype(np.float64), ra.lab(image)
+    blue, chroma = rgb[..., 2] - (rgb[..., 0] + rgb[..., 1]) / 2, np.hypot(x[..., 1] - 128, x[..., 2] - 128)
+    signal = np.maximum(blue - o["radial_blue_floor"], 0) + 0.30 * np.maximum(chroma - o["radial_chroma_floor"], 0) + 0.08 * np.maximum(254.0 - ra.grey(image), 0)
+    signal[artifact] = 0.0
+    signal = ra.blurred(signal, max(1.5, m * o["radial_signal_sigma_ratio"]))
+    px, py = w * o["prior_center_x_fraction"], h * o["prior_center_y_fraction"]
+    band, radii = max(3, round(m * o["radial_band_ratio"])), np.arange(round(m * o["radial_min_radius"]), round(m * o["radial_max_radius"]) + 1, 2)
+    best = {"score": -np.inf, "x": px, "y": py, "radius": m * o["preferred_radius_fraction"], "support": 0.0, "mean": 0.0, "fallback": True}
+    if not len(radii):
+        return best
+
+    def look(cx, cy):
+        sums = np.pad(np.cumsum(ra.polar(signal, cx, cy, int(radii[-1]) + band + 2, int(o["radial_angle_count"])), axis=1), ((0, 0), (1, 0)))
+        diff = (sums[:, radii] - sums[:, radii - band] - sums[:, radii + 1 + band] + sums[:, radii + 1]) / band
+        parts = {"low": np.percentile(diff, 35, axis=0), "mean": diff.mean(axis=0), "spread": diff.std(axis=0), "support": (diff > 0.02).mean(axis=0), "off": np.full(len(radii), math.hypot(cx - px, cy - py) / m), "size": np.abs(radii - m * o["preferred_radius_fraction"]) / m}
+        score = sum(SCORE[k] * v for k, v in parts.items())
+        k = int(np.argmax(score))
+        return {"score": float(score[k]), "x": cx, "y": cy, "radius": float(radii[k]), "fallback": False} | {n: float(v[k]) for n, v in parts.items()}
+
+    step = max(4, round(m * o["radial_center_step"]))
+    reach, fine = m * o["radial_center_extent"], max(2, step // 4)
+    around = lambda c, r, s: range(round(c - r), round(c + r) + 1, s)
+    for r, s in ((reach, step), (step, fine)):
+        mx, my = best["x"], best["y"]
+        best = max([best, *(look(cx, cy) for cy in around(my, r, s) for cx in around(mx, r, s))], key=lambda b: b["score"])
+    return best
+
+
 @heuristic("serrated_outer_circle")
 def serrated(image: np.ndarray, options: dict) -> Decision:
-    """A core inside a toothed outer ring: a polar fit of the core's edge, together with what density finds inside."""
+    """A core inside a toothed outer ring: a radial fit of the core's edge, together with what density finds inside."""
+    o = RADIAL | {k: v for k, v in options.items() if k in RADIAL}
     h, w = image.shape[:2]
     m = min(h, w)
     yy, xx = np.mgrid[:h, :w]
     dark = 255.0 - ra.grey(image)
     radius = np.hypot(xx - w / 2, yy - h / 2) / m
-    ring = (radius >= 0.36) & (radius <= 0.53)
-    outer = float((dark[ring] >= 10).mean()) if ring.any() else 0.0
-    if not 0.025 <= outer <= 0.45:
+    ring = (radius >= o["outer_annulus_min"]) & (radius <= o["outer_annulus_max"])
+    artifact = ring & (dark >= o["outer_dark_threshold"])
+    outer = float(artifact.sum() / max(1, ring.sum()))
+    if not o["min_outer_artifact_fraction"] <= outer <= o["max_outer_artifact_fraction"]:
         return Decision("serrated_outer_circle", "not_applicable", reason="no toothed ring", metrics={"outer": outer})
-    x = ra.lab(image)
-    ground = np.median(x.reshape(-1, 3), axis=0)
-    chroma = np.hypot(x[..., 1] - ground[1], x[..., 2] - ground[2])
-    blue = np.maximum(ground[2] - x[..., 2], 0)
-    signal = ra.blurred(np.maximum(blue - 0.5, 0) + 0.30 * np.maximum(chroma - 1.5, 0) + 0.08 * np.maximum(dark - 1, 0), max(1.5, 0.003 * m))
-    angles = np.arange(72) * 2 * np.pi / 72
-    best = None
-
-    def evaluate(cx, cy):
-        nonlocal best
-        reach = np.arange(0, int(0.45 * m))
-        px = np.clip(np.rint(cx + np.outer(np.cos(angles), reach)), 0, w - 1).astype(int)
-        py = np.clip(np.rint(cy + np.outer(np.sin(angles), reach)), 0, h - 1).astype(int)
-        sums = np.pad(np.cumsum(signal[py, px], axis=1), ((0, 0), (1, 0)))
-        band = max(3, round(0.03 * m))
-        for r in range(int(0.27 * m), int(0.36 * m) + 1, 2):
-            if r - band < 0 or r + band >= len(reach):
-                continue
-            diff = (sums[:, r] - sums[:, r - band]) / band - (sums[:, r + band] - sums[:, r]) / band
-            support = float((diff > 0).mean())
-            score = np.percentile(diff, 35) + 0.50 * diff.mean() - 0.30 * diff.std() + 0.08 * support - 0.10 * math.hypot(cx - w / 2, cy - h / 2) / m - 0.04 * abs(r / m - 0.32)
-            if best is None or score > best[0]:
-                best = (float(score), cx, cy, r, support, float(diff.mean()))
-
-    step = max(4.0, 0.012 * m)
-    for size, span in ((step, 0.09 * m), (step / 4, step)):
-        cx0, cy0 = (w / 2, h / 2) if best is None else best[1:3]
-        for dx in np.arange(-span, span + 1e-6, size):
-            for dy in np.arange(-span, span + 1e-6, size):
-                evaluate(cx0 + dx, cy0 + dy)
-    if best is None or best[0] < 0 or best[4] < 0.65 or best[5] < 0.02:
-        return Decision("serrated_outer_circle", "rejected", reason="no clear core", metrics={"outer": outer})
-    _, cx, cy, r, support, _ = best
-    core = r * options.get("expansion", 1.0)
+    fit = radial_fit(image, artifact, o)
+    metrics = {"outer": outer, "radius": fit["radius"], "support": fit["support"], "fallback": fit["fallback"]}
+    weak = fit["score"] < o["min_inner_radial_score"] or fit["support"] < o["min_inner_radial_positive_support"] or fit["mean"] < o["min_inner_radial_mean_difference"]
+    if weak and not fit["fallback"]:
+        return Decision("serrated_outer_circle", "rejected", reason="no clear core", metrics=metrics)
+    core = fit["radius"] * options.get("expansion", 1.0)
     if core >= 0.90 * 0.5 * m:
-        return Decision("serrated_outer_circle", "rejected", reason="core as large as the ring", metrics={"outer": outer})
+        return Decision("serrated_outer_circle", "rejected", reason="core as large as the ring", metrics=metrics)
     safe = radius <= 0.445
     inside = image.copy()
     inside[~safe] = 255
     dense = density(inside, options.get("within_density", {}))
-    mask = ra.disk((h, w), cx, cy, core)
+    mask = ra.disk((h, w), fit["x"], fit["y"], core)
     if dense.status == "accepted":
         mask = mask | ra.dilated(dense.mask, 2 * max(1, round(0.01 * m)) + 1)
-    return Decision("serrated_outer_circle", "accepted", min(0.98, 0.55 + 1.5 * min(0.12, outer)), "", mask & safe, {"outer": outer, "radius": float(r), "support": support})
+    return Decision("serrated_outer_circle", "accepted", min(0.98, 0.55 + 1.5 * min(0.12, outer)), "", mask & safe, metrics)
 
 
 # fixed values: thresholds of the filter for empty patches
@@ -267,3 +282,6 @@ def nonempty(patch: np.ndarray, options: dict | None = None) -> tuple[bool, dict
     fine = float(ra.laplacian(ra.blurred(ra.grey(small), o["noise_sigma"])).std())
     metrics = {"local_color_fraction": fraction, "laplacian_std": fine, "residual_p99": float(np.percentile(residual, 99)), "near_white": float((patch >= 245).all(axis=2).mean())}
     return fraction >= o["min_local_color_fraction"] or fine >= o["min_laplacian_std"], metrics
+
+
+from . import carriers  # noqa: E402, F401  registers its heuristic
