@@ -130,7 +130,8 @@ def test_serrated_core():
     fit = regions.radial_fit(img, r > 178, regions.RADIAL)
     assert not fit["fallback"] and np.hypot(fit["x"] - 200, fit["y"] - 170) < 12 and abs(fit["radius"] - 125) < 12
     d = regions.run("serrated_outer_circle", img)
-    assert d.status == "accepted" and iou(d.mask, core & (r / 400 <= 0.445)) > 0.85
+    # what density adds around the core is wider than the core by its blur
+    assert d.status == "accepted" and iou(d.mask, core & (r / 400 <= 0.445)) > 0.8 and (d.mask & core).sum() / core.sum() > 0.95
     assert regions.run("serrated_outer_circle", np.full((100, 100, 3), 255, np.uint8)).status == "not_applicable"
 
 
