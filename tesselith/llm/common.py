@@ -17,13 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session without one gets a temporary folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tesselith-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: executors need a folder that they share with the driver")
+    return _own_dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tesselith-"))
 
 
 #: With this on, what a write has shuffled is deleted at its end, when its result is safe.

@@ -2,8 +2,8 @@
 
 Equal vectors of one label are one node. Neighbour lists begin with neighbours in ORDERS orders by random hyperplanes and
 improve by rounds: each node compares its neighbours with one another. Pairs at the threshold or above are kept
-for good. An audit then compares a query set of each label (ASKED nodes at least, all of a smaller label) with all rows of
-the label, in blocks. Recall is averaged over query nodes of one label and one power of two of links, so that large groups do not
+for good. An audit then compares a query set of each label (about ASKED nodes, all of a smaller label) with all rows of
+the label, in blocks: its cost grows with the rows, not with their square. Recall is averaged over query nodes of one label and one power of two of links, so that large groups do not
 outweigh small ones; labels with an average below AUDIT get more orders and rounds, and after ATTEMPTS all their
 rows are compared block with block. A list that is saturated, all of it above the threshold, may hide links: it is enlarged to its
 whole component, whose members are compared block with block, so that links are counted and not written out.
@@ -29,30 +29,37 @@ THRESHOLD = 0.93
 NEIGHBOURS, ROUNDS, ORDERS, REACH = 8, 2, 16, 4
 AUDIT, ATTEMPTS = 0.995, 4
 BLOCK = 512
-#: Query nodes of a label, about; of a label with as many nodes or fewer all are asked.
+#: Query nodes of a label, about, however many rows it has; of a label with as many nodes or fewer all are asked.
 ASKED = 512
 
 
 def _unit(vectors: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(vectors), np.float32).reshape(len(vectors), -1).astype(np.float64)
+    """Vectors of length 1, in double precision. Doubles have one byte more than their numbers take."""
+    wide = bool(vectors) and len(vectors[0]) % 4 == 1
+    kind, n = (np.float64, 8) if wide else (np.float32, 4)
+    raw = np.frombuffer(b"".join(vectors), np.uint8).reshape(len(vectors), -1)
+    x = np.ascontiguousarray(raw[:, : raw.shape[1] // n * n]).view(kind).astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
     """vec_id, node, label, vec: node is null where a row links with nothing; label is dimension and label as one text."""
+    wide = rows.schema["embedding"].dataType.simpleString() != "array<float>"
+    kind, end = (np.float64, b"d") if wide else (np.float32, b"")
 
     def run(batches):
         for b in batches:
             node, vec, label = [], [], []
             for v, y in zip(b.column("embedding").to_pylist(), b.column("label").to_pylist()):
-                x = np.array(v, np.float32) if v and y is not None and None not in v else None
+                x = np.array(v, kind) if v and y is not None and None not in v else None
                 good = x is not None and np.isfinite(x).all() and x.any()
-                vec.append((x + np.float32(0)).tobytes() if good else None)
+                vec.append((x + kind(0)).tobytes() + end if good else None)
                 label.append(f"{len(x)}:{y}" if good else None)
                 node.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(label[-1].encode() + vec[-1])))) if good else None)
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(node, pa.int64()), pa.array(label, pa.string()), pa.array(vec, pa.binary())], ["vec_id", "node", "label", "vec"])
 
-    return rows.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("string").alias("label")).mapInArrow(run, "vec_id long, node long, label string, vec binary")
+    numbers = F.col("embedding").cast("array<double>" if wide else "array<float>")
+    return rows.select("vec_id", numbers.alias("embedding"), F.col("label").cast("string").alias("label")).mapInArrow(run, "vec_id long, node long, label string, vec binary")
 
 
 def ordered_pairs(nodes: DataFrame, first: int, orders: int) -> DataFrame:
@@ -142,10 +149,12 @@ def audit(nodes: DataFrame, comp: DataFrame) -> DataFrame:
     components are compared in full. Queries go in blocks of one label.
     """
     sized = nodes.join(nodes.groupBy("label").agg(F.count("*").alias("n")), "label").join(comp.withColumnRenamed("id", "node"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    q = sized.where(F.col("asked") | (F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("n") / ASKED)) == 0))
+    parts = F.ceil(F.col("n") / (8 * BLOCK)).cast("int")
+    q = sized.where(F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("n") / ASKED)) == 0)
     q = q.withColumn("asks", F.count("*").over(Window.partitionBy("label"))).withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("asks") / BLOCK)))
-    q = q.groupBy("label", "block").agg(F.collect_list(F.struct("node", "comp", "vec")).alias("q"))
-    cut = sized.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / (8 * BLOCK))))
+    q = q.groupBy("label", "block").agg(F.collect_list(F.struct("node", "comp", "vec")).alias("q"), F.first(parts).alias("parts"))
+    q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))  # a task has one part of a label's rows, not all
+    cut = sized.withColumn("part", F.pmod(F.hash("node"), parts))
     cut = cut.groupBy("label", "part").agg(F.collect_list(F.struct("node", "comp", "vec")).alias("rows"))
 
     def compare(batches):
@@ -157,7 +166,7 @@ def audit(nodes: DataFrame, comp: DataFrame) -> DataFrame:
                 got = near & (of[:, None] == np.array([r["comp"] for r in rows]))
                 yield pa.RecordBatch.from_arrays([pa.array([label] * len(qs)), pa.array(node), pa.array(near.sum(axis=1)), pa.array(got.sum(axis=1))], ["label", "node", "links", "got"])
 
-    each = q.join(cut, "label").select("label", "q", "rows").mapInArrow(compare, "label string, node long, links long, got long")
+    each = q.join(cut, ["label", "part"]).select("label", "q", "rows").mapInArrow(compare, "label string, node long, links long, got long")
     each = each.groupBy("label", "node").agg(F.sum("links").alias("links"), F.sum("got").alias("got")).where("links > 0")
     return each.groupBy("label", F.floor(F.log2("links")).alias("size")).agg(F.avg(F.col("got") / F.col("links")).alias("recall"))
 
@@ -250,11 +259,11 @@ def count_links(members: DataFrame) -> DataFrame:
 def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
     """vec_id, n_links, component_id, kept for every row; and the least audited recall of a label and size of groups."""
     own = stored(nodes_of(rows), "vectors")
-    nodes = stored(own.where("node is not null").groupBy("node").agg(F.min("label").alias("label"), F.min("vec").alias("vec"), F.count("*").alias("m"), F.max(F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False))).alias("asked")), "nodes")
-    todo = nodes.select("node", "label", "vec", "asked")
+    nodes = stored(own.where("node is not null").groupBy("node").agg(F.min("label").alias("label"), F.min("vec").alias("vec"), F.count("*").alias("m")), "nodes")
+    todo = nodes.select("node", "label", "vec")
     graph, links, recall, comp = None, None, 1.0, None
     for attempt in range(ATTEMPTS):
-        new = ordered_pairs(todo.select("node", "label", "vec"), attempt * ORDERS, ORDERS)
+        new = ordered_pairs(todo, attempt * ORDERS, ORDERS)
         graph = stored(new if graph is None else graph.union(new).distinct(), "graph")
         links = graph.where(F.col("sim") >= THRESHOLD).select("a", "b") if links is None else links.union(graph.where(F.col("sim") >= THRESHOLD).select("a", "b"))
         for _ in range(ROUNDS):

@@ -160,6 +160,57 @@ def test_fingerprints(spark, sf):
     assert got.assign(t=[h(t.encode()) for t in texts]).groupby("t").fingerprint.nunique().max() == 1
 
 
+def test_fingerprints_by_brute_force(spark, sf):
+    """The lexicon, the slots' terms and the likenesses, worked out one by one with Spark's hash of single values."""
+    import re
+
+    from tesselith.llm import imatch
+
+    got = run(spark, sf, "op5_fingerprints").sort_values("doc_id", kind="stable").reset_index(drop=True)
+    texts = [sf[1][i] or "" for i in got.doc_id]
+    split = lambda t: list(dict.fromkeys(x for x in re.split(r"[\x20\x09-\x0D]+", t.lower()) if x))
+    sets = [split(t) for t in texts]
+    df = collections.Counter(x for s in sets for x in s)
+    n, pairs = len(sets), sum(c for c in df.values() if c >= 2)
+    least, most = max(2.0, imatch.BAND[0] * n, pairs / imatch.MOST_TERMS), max(2.0, imatch.BAND[1] * n)
+    lex = sorted(x for x, c in df.items() if least <= c <= most)
+    assert 20 < len(lex) < len(df)
+    rows = spark.createDataFrame([(x,) for x in lex], "t string").selectExpr("t", "xxhash64(t) h").selectExpr("t", "h", *[f"xxhash64(h, {k}) s{k}" for k in range(imatch.SLOTS + 1)]).collect()
+    by = {r.t: r for r in rows}
+    rates = [rate for count, rate in imatch.RATES for _ in range(count)]
+    empty = spark.sql(f"select xxhash64(xxhash64(''), {imatch.SLOTS})").first()[0]
+
+    def made(text):
+        terms = [by[x] for x in split(text) if x in by]
+        slots = []
+        for k, rate in enumerate(rates):
+            v = 0
+            for r in terms:
+                if by_slot[k][r.t]:
+                    v ^= r[f"s{k}"]
+            slots.append(imatch.EMPTY if v == 0 else f"{v & (2**64 - 1):X}"[-4:].rjust(4, "f"))
+        whole = empty
+        for r in terms:
+            whole ^= r[f"s{imatch.SLOTS}"]
+        own = spark.createDataFrame([(text,)], "t string").selectExpr("xxhash64(lower(t)) h").first()[0] if not terms else None
+        return f"{(whole if terms else own) & (2**64 - 1):X}".rjust(16, "0") + "".join(slots)
+
+    by_slot = [{r.t: r[f"s{k}"] % rate == 0 for r in rows} for k, rate in enumerate(rates)]
+
+    def like(a, b):
+        if a == b:
+            return 1.0
+        p, q = ([x[16 + 4 * i : 20 + 4 * i] for i in range(imatch.SLOTS)] for x in (a, b))
+        used = 1 + sum(x != imatch.EMPTY or y != imatch.EMPTY for x, y in zip(p, q))
+        return (sum(x == y != imatch.EMPTY for x, y in zip(p, q)) + (a[:16] == b[:16])) / used
+
+    for i, r in enumerate(got.itertuples()):
+        half = len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + texts[(i + 1) % n][:half]
+        assert r.fingerprint == made(texts[i]) and r.edited_fingerprint == made(edited)
+        assert abs(r.near_edited - like(r.fingerprint, r.edited_fingerprint)) < 1e-12 and abs(r.near_next - like(r.fingerprint, got.fingerprint[(i + 1) % n])) < 1e-12
+
+
 def test_toxicity_grammar():
     from tesselith.llm.toxicity import Grammar
 

@@ -137,3 +137,24 @@ def test_rows_of_one_id_are_mixed_each_for_itself(spark):
         mixed[r.source] += len(r.text.split())
     for source, x in plan.groupby("source"):
         assert mixed[source] == (x.copies * x["size"]).sum() and abs(mixed[source] - x.target.iloc[0]) <= 5
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    """Two vectors whose cosine falls below the threshold only beyond single precision."""
+    from tesselith.llm.nn_descent import near_vectors
+
+    t = np.arccos(0.93)
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))], 0) for i, a in ((1, 0.0), (2, t + 1e-10), (3, -t + 1e-10))]
+    out = {r.vec_id: r.n_links for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))[0].collect()}
+    assert out == {1: 1, 2: 0, 3: 1}
+
+
+def test_the_pipeline_on_empty_tables_and_clashing_names(spark, tmp_path):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, node long, copies long, key string"
+    for where, rows in (("none", []), ("some", [(i, f"a few words for number {i} " * (i % 4), "en", f"s{i % 3}", 9, "r", i, i, "k") for i in range(30)] + [(None, None, None, None, None, None, None, None, None)] * 2)):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{where}/documents.parquet")
+        spark.createDataFrame([(i, 1, int(i == 3)) for i in range(len(rows))], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{where}/labels.parquet")
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{where}").collect()
+        assert bool(out) == bool(rows)
