@@ -51,6 +51,38 @@ def run(name: str, image: np.ndarray, options: dict | None = None) -> Decision:
     return Decision(name, "accepted", max(0.0, min(1.0, d.confidence)), d.reason, d.mask, d.metrics)
 
 
+def run_pipeline(image: np.ndarray, names=("density",), options: dict | None = None, strategy: str = "first", arbitration: dict | None = None) -> Decision:
+    """One image through a pipe of heuristics: the first that accepts, or, arbitrated, the surest that is safe against density.
+
+    The same rules as for decisions in a DataFrame; metrics has the attempts.
+    """
+    options, attempts, accepted = options or {}, [], []
+    for name in names:
+        o = options.get(name, {})
+        d = run(name, image, o)
+        if d.status == "accepted" and d.confidence < float(o.get("min_confidence", 0.0)):
+            d = Decision(name, "rejected", d.confidence, f"confidence {d.confidence:.3f} is below {o['min_confidence']}", metrics=d.metrics)
+        attempts.append({"name": name, "status": d.status, "confidence": d.confidence, "reason": d.reason})
+        if d.status == "accepted":
+            accepted.append(d)
+            if strategy == "first":
+                break
+    if not accepted:
+        return Decision("pipeline", "rejected", reason="no heuristic found a region", metrics={"attempts": attempts})
+    chosen = accepted[0]
+    ref = next((d for d in accepted if d.name == "density"), None)
+    if strategy == "arbitrate" and ref is not None:
+        a = {"min_specialized_confidence": 0.65, "min_density_recall": 0.90, "max_density_area_ratio": 3.5} | (arbitration or {})
+        n, safe = max(1, int(ref.mask.sum())), []
+        for d in accepted:
+            o = options.get(d.name, {})
+            fits = (d.mask & ref.mask).sum() / n >= o.get("min_density_recall", a["min_density_recall"]) and d.mask.sum() / n <= o.get("max_density_area_ratio", a["max_density_area_ratio"])
+            if d is not ref and d.confidence >= o.get("arbitration_min_confidence", a["min_specialized_confidence"]) and (fits or not o.get("density_guard", True)):
+                safe.append(d)
+        chosen = max(safe, key=lambda d: d.confidence, default=ref)
+    return Decision(chosen.name, "accepted", chosen.confidence, chosen.reason, chosen.mask, chosen.metrics | {"attempts": attempts, "strategy": strategy})
+
+
 def foreground(image: np.ndarray, delta: float = 10.0) -> np.ndarray:
     """Pixels whose colour is away from the light border's median, or that are dark, but not near black."""
     m = min(image.shape[:2])

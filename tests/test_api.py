@@ -259,3 +259,63 @@ def test_stream(spark, tmp_path):
     rows = inputs.once(inputs.arriving(spark, str(tmp_path / "in"), events.schema, "ts"), ["event_id"])
     inputs.run_available(rows, str(tmp_path / "out"), str(tmp_path / "state"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == events.count()
+
+
+def test_windows_and_late_rows(spark, tmp_path):
+    """Counts by windows of a stream; a row that comes after the watermark is left out."""
+    from tesselith.streaming import inputs
+
+    src, at = str(tmp_path / "in"), lambda i, t: f"({i}, timestamp'2024-01-01 {t}', 'k', {i}.0)"
+
+    def take(*rows):
+        spark.sql(f"select cast(col1 as long) id, col2 ts, col3 kind, cast(col4 as double) value from values {', '.join(rows)}").coalesce(1).write.mode("append").parquet(src)
+        rows = inputs.arriving(spark, src, "id long, ts timestamp, kind string, value double", "ts", "10 minutes")
+        inputs.run_available(inputs.counts(rows, "ts", "kind", "1 hour"), str(tmp_path / "out"), str(tmp_path / "state"))
+
+    take(at(1, "00:00:10"), at(2, "00:00:20"), at(3, "01:10:00"))
+    take(at(4, "05:00:00"))
+    take(at(5, "00:00:30"), at(6, "12:00:00"))
+    got = {r.window.start.hour: (r.n, r["mean"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {0: (2, 1.5), 1: (1, 3.0), 5: (1, 4.0)}  # row 5 is late, and the window of row 6 is open
+
+
+def test_arbitration_settings(spark):
+    from pyspark.sql import functions as F
+
+    from tesselith.operators import decisions
+
+    rows = [(1, "density", 0, "accepted", 0.5, 100, 100), (1, "smear", 1, "accepted", 0.9, 100, 50), (1, "double_circle", 2, "accepted", 0.7, 100, 95), (2, "density", 0, "accepted", 0.5, 100, 100), (2, "smear", 1, "accepted", 0.6, 100, 99)]
+    d = spark.createDataFrame(rows, "slide_id long, name string, pos int, status string, confidence double, area long, overlap long")
+    pick = lambda **k: {r.slide_id: r.name for r in decisions.arbitrate(d, **k).collect()}
+    assert pick() == {1: "double_circle", 2: "density"}
+    assert pick(**decisions.thresholds({"min_specialized_confidence": 0.55}, {"smear": {"density_guard": False}})) == {1: "smear", 2: "smear"}
+    assert pick(**decisions.thresholds({}, {"double_circle": {"arbitration_min_confidence": 0.8}, "smear": {"min_density_recall": 0.5}})) == {1: "smear", 2: "density"}
+    assert d.where(F.col("slide_id") == 3).count() == 0
+
+
+def test_one_image_through_a_pipe():
+    from tesselith.functions import regions
+
+    img = drawn(200, 200, 100, 100, 60)
+    d = regions.run_pipeline(img, ("double_circle", "nothing", "single_circle", "density"))
+    assert d.name == "single_circle" and [a["status"] for a in d.metrics["attempts"]] == ["not_applicable", "error", "accepted"]
+    assert regions.run_pipeline(img, ("single_circle", "density"), {"single_circle": {"min_confidence": 0.999}}).name == "density"
+    assert regions.run_pipeline(img, ("density", "single_circle"), strategy="arbitrate").name == "single_circle"
+    assert regions.run_pipeline(img, ("density", "single_circle"), {}, "arbitrate", {"min_specialized_confidence": 0.999}).name == "density"
+    assert regions.run_pipeline(np.full((50, 50, 3), 255, np.uint8)).status == "rejected"
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    from tesselith.__main__ import main
+
+    sets = ["--set", "reader.thumbnail_width=320", "--set", "patching.patch_size=64", "--set", "patching.stride=64", "--set", "patching.output_size=16", "--set", f"logging.root={tmp_path}/logs"]
+    assert main(["--show-config", *sets], spark) == 0 and "patch_size: 64" in capsys.readouterr().out
+    assert main(["--input-list", str(folder / "list.txt"), "--input-root", str(folder), "--inspect"], spark) == 0
+    assert capsys.readouterr().out.splitlines()[1].startswith("b\tsource=")
+    assert main([str(folder / "a.tif"), "--output", f"{tmp_path}/out", "--run-id", "x", *sets], spark) == 0
+    assert "status=success slides=1 output=" in capsys.readouterr().out and os.path.exists(f"{tmp_path}/out/a/index.json")
+    assert main([str(folder / "a.tif"), "--preview", "--output", f"{tmp_path}/pre", "--n-patches", "1", *sets], spark) == 0
+    assert "planned_patches=" in capsys.readouterr().out
+    for bad in ([], [str(folder / "a.tif"), "--input-list", "x"], [str(folder / "none.tif")]):
+        with pytest.raises(SystemExit):
+            main(bad, spark)
