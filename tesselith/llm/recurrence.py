@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, pieces, stored
+from .common import drop_stored, once, pieces, stored
 from .shingles import WordHashes, mixed
 
 LAST = 2**63 - 1
@@ -50,7 +50,7 @@ class Words:
     grams = 6
 
     def __init__(self):
-        self.cache = WordHashes()
+        self.cache = once(("words",), WordHashes)
 
     def split(self, text: bytes) -> list[bytes]:
         return text.split()

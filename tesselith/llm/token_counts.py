@@ -3,7 +3,7 @@
 In this kind of model no piece has a space mark after another character, so that a text falls apart before each run of
 space marks, and the parts encode independently. For every vocabulary string it is proved once, with the library, whether
 it encodes alone as one token; parts that are such strings count one. Only the rest are merged, each distinct one once in
-a while: a bounded table keeps their counts.
+a while: a bounded table keeps their counts. Proofs and table are a worker's, for all its tasks.
 
 Defined cases: null and empty texts have 0 bytes and 0 tokens; texts are never cut; repeated rows stay rows; an empty table
 gives an empty result; further columns are not read.
@@ -16,7 +16,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import pieces, table
+from .common import once, pieces, table
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -70,7 +70,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit."""
 
     def run(batches):
-        counter = PieceCounter(path)
+        counter = once(("pieces", path), lambda: PieceCounter(path))
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
             n = []

@@ -296,19 +296,70 @@ def test_near_copies(spark, sf):
 
 
 def test_pipeline_stages(spark, sf):
+    """Each stage's rows against a plain version on the rows that it got."""
     import corpus_pipeline
+    import tiktoken
+
+    from tesselith.llm import toxicity
+    from tesselith.llm.bpe import load_ranks
 
     docs = spark.read.parquet(f"{sf[0]}/documents.parquet")
-    names, counts = docs.columns, []
-    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        docs = stage(spark, docs, sf[0])
+    names, seen = docs.columns, {}
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before, out = rows(docs), stage(spark, docs, sf[0])
         if i < 4:
-            assert docs.columns == names
+            assert out.columns == names
             path = f"{sf[0]}/stage{i}"
-            docs.write.parquet(path)
+            out.write.parquet(path)
             docs = spark.read.parquet(path)
-        counts.append(docs.count())
-    assert counts[1] < counts[0] and counts[2] == counts[1] and counts[4] == counts[3]
+            seen[name] = before, rows(docs)
+    t = names.index("text")
+
+    before, after = seen["toxicity"]
+    labels = spark.read.parquet(f"{sf[0]}/labels.parquet")
+    grammar = toxicity.Grammar(toxicity.learn_stems(toxicity.training_rows(spark.read.parquet(f"{sf[0]}/documents.parquet"), labels)))
+    assert after == [r for r in before if grammar.score(r[t]) < 0.3]
+
+    before, after = seen["near_duplicates"]
+    sets = []
+    for r in before:
+        w = (r[t] or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set()))
+    near = {a: {b for b in range(len(sets)) if b != a and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])} for a in range(len(sets))}
+    comp = components(near, range(len(sets)))
+    least = {}
+    for i, r in enumerate(before):
+        least[comp[i]] = min(least.get(comp[i], r[0]), r[0])
+    assert len(after) < len(before) and after == [r for i, r in enumerate(before) if r[0] == least[comp[i]]]
+
+    before, after = seen["substrings"]
+    own, want = {}, []
+    for r in sorted(before, key=lambda r: r[0]):
+        w = (r[t] or "").encode().split()
+        gone = [False] * len(w)
+        for s in range(len(w) - 12):
+            if own.setdefault(tuple(w[s : s + 13]), r[0]) < r[0]:
+                gone[s : s + 13] = [True] * 13
+        kept = b" ".join(x for x, g in zip(w, gone) if not g).decode()
+        want.append(tuple(kept if any(gone) and c == "text" else len(kept) if any(gone) and c == "n_chars" else v for c, v in zip(names, r)))
+    assert after == sorted(want, key=repr) and after != before
+
+    before, after = seen["mixing"]
+    taken, size = collections.Counter(after), lambda r: len((r[t] or "").encode().split())
+    held = collections.Counter(before)
+    assert set(taken) <= set(held) and all(n <= 3 * held[r] for r, n in taken.items())
+    from tesselith.llm.mixing import mix_plan
+
+    s = names.index("source")
+    plan = mix_plan(spark.read.parquet(f"{sf[0]}/stage2")).toPandas()
+    for source, x in plan.groupby("source", dropna=False):
+        got = sum(size(r) * n for r, n in taken.items() if r[s] == source or (r[s] is None and source != source))
+        assert abs(got - x.target.iloc[0]) <= x["size"].max()
+
+    e = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    got = sorted((r.doc_id, r.n_tokens, list(r.ids), r.decoded_sha256) for r in out.collect())
+    assert got == sorted((r[0], len(e.encode_ordinary(r[t] or "")), e.encode_ordinary(r[t] or ""), h((r[t] or "").encode())) for r in after)
 
 
 def test_a_dense_region_of_near_copies(spark):
