@@ -34,6 +34,8 @@ HASHES = TREES * DEPTH
 BLOCK_ROWS = 1024
 #: Of the 64 two-bit parts of two signatures so many are equal at similarity 0.8, but for one pair in 100,000.
 ALIKE = 42
+#: Rows of a part and queries of a block of the audit.
+AUDIT_ROWS, AUDIT_QUERIES = 4096, 64
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -286,5 +288,52 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     return rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("t")), "left_anti").select("row.*")
 
 
+def audit(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[int, int]:
+    """Links of the documents whose id is divisible by 100 with all others, by brute force, and how many of them lie in one
+    class. Queries go in blocks of AUDIT_QUERIES against parts of AUDIT_ROWS rows, on inverted indexes of the queries' sets."""
+    docs = docs.select("doc_id", "text").withColumn("t", F.xxhash64("text"))
+
+    def sets(batches):
+        cache = once(("words",), WordHashes)
+        for b in batches:
+            texts = [(t or "").encode().lower() for t in b.column("text").to_pylist()]
+            for i, j in pieces(texts, 4 << 20):
+                found = [s.tobytes() for s in shingle_sets(texts[i:j], k, cache)]
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("doc_id", "t")), pa.array(found, pa.binary())], ["doc_id", "t", "items"])
+
+    group = classes(docs, k, percent).where("group is not null").select("doc_id", "t", "group").dropDuplicates(["doc_id", "t"])
+    rows = docs.mapInArrow(sets, "doc_id long, t long, items binary").dropDuplicates(["doc_id", "t"])
+    rows = stored(rows.join(group, ["doc_id", "t"]).withColumn("row", F.xxhash64("doc_id", "t")), "audit")  # null ids are no queries and have no links here
+    asked = rows.where("doc_id % 100 = 0")
+    parts, blocks = (max(1, -(-df.count() // n)) for df, n in ((rows, AUDIT_ROWS), (asked, AUDIT_QUERIES)))
+    one = F.struct("row", "group", "items")
+    queries = asked.groupBy(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).alias("block")).agg(F.collect_list(one).alias("q"))
+    queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    held = rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part")).agg(F.collect_list(one).alias("r"))
+
+    def compare(batches):
+        for b in batches:
+            for qs, rs in zip(b.column("q").to_pylist(), b.column("r").to_pylist()):
+                q = [np.frombuffer(x["items"], np.uint64) for x in qs]
+                n = np.array([len(x) for x in q])
+                values, number = np.unique(np.concatenate(q), return_inverse=True)
+                order = np.argsort(number, kind="stable")
+                whose, first = np.repeat(np.arange(len(q)), n)[order], np.append(0, np.cumsum(np.bincount(number)))
+                links = same = 0
+                for x in rs:
+                    items = np.frombuffer(x["items"], np.uint64)
+                    at = np.searchsorted(values, items)
+                    at = at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == items)]
+                    both = np.bincount(np.concatenate([whose[first[i] : first[i + 1]] for i in at.tolist()]), minlength=len(q)) if len(at) else np.zeros(len(q), int)
+                    for i in np.flatnonzero(100 * both >= percent * (n + len(items) - both)).tolist():
+                        if qs[i]["row"] != x["row"]:
+                            links += 1
+                            same += qs[i]["group"] == x["group"]
+                yield pa.RecordBatch.from_arrays([pa.array([links]), pa.array([same])], ["links", "same"])
+
+    got = queries.join(held, "part").select("q", "r").mapInArrow(compare, "links long, same long")
+    return tuple(got.agg(F.coalesce(F.sum("links"), F.lit(0)), F.coalesce(F.sum("same"), F.lit(0))).first())
+
+
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4)

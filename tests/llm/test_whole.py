@@ -158,3 +158,19 @@ def test_the_pipeline_on_empty_tables_and_clashing_names(spark, tmp_path):
         spark.createDataFrame([(i, 1, int(i == 3)) for i in range(len(rows))], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{where}/labels.parquet")
         out = corpus_pipeline.run(spark, f"{tmp_path}/{where}").collect()
         assert bool(out) == bool(rows)
+
+
+def test_the_audit_of_near_copies(spark):
+    """All links of query documents lie in one class, and are as many as brute force finds."""
+    import random
+
+    from tesselith.llm.minhash_forest import audit
+
+    rng, texts = random.Random(2), []
+    for _ in range(40):
+        w = [f"v{rng.randrange(5000)}" for _ in range(60)]
+        texts += [" ".join(w), " ".join([*w[:-2], "x", "y"]), " ".join(w[:30])]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    want = sum(1 for a in range(0, 120, 4) for b in range(120) if a != b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    docs = spark.createDataFrame([(25 * i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert want > 10 and audit(docs) == (want, want)
