@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import drop_stored, stored, table
 from .components import components
 
 THRESHOLD = 0.93
@@ -106,8 +106,8 @@ def lists(pairs: DataFrame) -> DataFrame:
     return best.withColumn("least", F.min("sim").over(Window.partitionBy("v"))).select("v", "u", "sim", "least")
 
 
-def descend(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b, sim: better pairs among the neighbours, either way, of each node."""
+def descend(pairs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """a, b, sim: better pairs among the neighbours, either way, of each node; and the lists, which are stored."""
     best = stored(lists(pairs), "lists")
     least = best.groupBy("v").agg(F.min("least").alias("least")).withColumnRenamed("v", "u")
     around = best.select("v", "u", "sim").union(best.select(F.col("u").alias("v"), F.col("v").alias("u"), "sim")).distinct()
@@ -139,7 +139,7 @@ def descend(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pd.DataFrame({"a": np.minimum(u[i], u[j]), "b": np.maximum(u[i], u[j]), "sim": (x @ x.T)[i, j]})
 
     dealt = around.repartition(parts, "v").sortWithinPartitions("v", "u")
-    return dealt.mapInPandas(compare, "a long, b long, sim double").where("a != b")
+    return dealt.mapInPandas(compare, "a long, b long, sim double").where("a != b"), best
 
 
 def audit(nodes: DataFrame, comp: DataFrame) -> DataFrame:
@@ -256,6 +256,10 @@ def count_links(members: DataFrame) -> DataFrame:
     return dealt.mapInPandas(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _both(best: DataFrame) -> DataFrame:
+    return best.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "sim").distinct()
+
+
 def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
     """vec_id, n_links, component_id, kept for every row; and the least audited recall of a label and size of groups."""
     own = stored(nodes_of(rows), "vectors")
@@ -263,15 +267,20 @@ def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
     todo = nodes.select("node", "label", "vec")
     graph, links, recall, comp = None, None, 1.0, None
     for attempt in range(ATTEMPTS):
-        new = ordered_pairs(todo, attempt * ORDERS, ORDERS)
+        new, passing = ordered_pairs(todo, attempt * ORDERS, ORDERS), []
         graph = stored(new if graph is None else graph.union(new).distinct(), "graph")
-        links = graph.where(F.col("sim") >= THRESHOLD).select("a", "b") if links is None else links.union(graph.where(F.col("sim") >= THRESHOLD).select("a", "b"))
+        above = graph.where(F.col("sim") >= THRESHOLD).select("a", "b")
+        before, links = links, above if links is None else links.union(above)
         for _ in range(ROUNDS):
-            better = stored(descend(graph, todo), "better")
+            pairs, best = descend(graph, todo)
+            better = stored(pairs, "better")
+            drop_stored(best)
             links = links.union(better.where(F.col("sim") >= THRESHOLD).select("a", "b"))
-            best = lists(graph.union(better).groupBy("a", "b").agg(F.max("sim").alias("sim")))
-            graph = stored(best.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "sim").distinct(), "graph")
+            passing += [graph, better]
+            graph = stored(_both(lists(graph.union(better).groupBy("a", "b").agg(F.max("sim").alias("sim")))), "graph")
         links = stored(links.distinct(), "links")
+        for df in [*passing, *([before] if before is not None else [])]:  # what only led here
+            drop_stored(df)
         comp = components(links)
         audited = stored(audit(todo, comp), "audit")
         passed, short = audited.groupBy("label").agg(F.min("recall").alias("r")), audited.where(F.col("recall") < AUDIT).select("label").distinct()
@@ -289,7 +298,7 @@ def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
     named = own.join(comp.withColumnRenamed("id", "node"), "node", "left").withColumn("group", F.coalesce("comp", "node")).join(nodes.select("node", "m"), "node", "left").join(linked, "node", "left")
     least = named.where("group is not null").groupBy("group").agg(F.min("vec_id").alias("least"))
     out = named.join(least, "group", "left").select("vec_id", F.coalesce(F.col("m") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).alias("n_links"), F.coalesce("least", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))), recall
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))), recall
 
 
 def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
