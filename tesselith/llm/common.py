@@ -55,6 +55,16 @@ def drop_stored(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: A class is joined to its rows in so many places, so that a class that holds a third of all rows is not one task's.
+SALTS = 16
+
+
+def joined_to_class(rows: DataFrame, classes: DataFrame, key: str, spread: str) -> DataFrame:
+    """rows left joined with classes (a row a key, of keys with several rows) on key; the column spread tells rows of a class apart."""
+    salted = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(salted, [key, "salt"], "left").drop("salt")
+
+
 _made: dict = {}
 
 

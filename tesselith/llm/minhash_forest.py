@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import once, pieces, stored, table
+from .common import joined_to_class, once, pieces, stored, table
 from .components import components
 from .shingles import WordHashes, shingle_sets
 
@@ -270,8 +270,8 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row. A null doc_id is the greatest: kept where its class has no other."""
     named = classes(docs, k, percent)
-    least = named.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
-    out = named.join(least, "group", "left")
+    least = named.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    out = joined_to_class(named, least, "group", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -283,7 +283,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     named = stored(classes(docs, k, percent).where("group is not null"), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t")
     first = named.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("rows")).where("rows > 1").select("group", "first")
-    gone = named.join(first, "group").where(~order.eqNullSafe(F.col("first"))).select("doc_id", "t").distinct()
+    gone = joined_to_class(named, first, "group", "t").where(F.col("first").isNotNull() & ~order.eqNullSafe(F.col("first"))).select("doc_id", "t").distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))  # no name of docs meets one used here
     return rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("t")), "left_anti").select("row.*")
 

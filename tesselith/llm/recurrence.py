@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, once, pieces, stored
+from .common import drop_stored, joined_to_class, once, pieces, stored
 from .shingles import WordHashes, mixed
 
 LAST = 2**63 - 1
@@ -515,8 +515,9 @@ def recurring_runs(docs: DataFrame, make_kind: Callable, window: int, locate: Ca
 
         yield from apply(lots())
 
-    first = rows.groupBy("sha256", "node").agg(F.min("doc").alias("first_doc"))
-    return rows.drop("z").join(first, ["sha256", "node"]), again.mapInArrow(finish, schema)
+    copies = rows.groupBy("sha256").agg(F.min("doc").alias("first_doc"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    named = joined_to_class(rows.drop("z"), copies, "sha256", "doc").withColumn("first_doc", F.coalesce("first_doc", "doc"))
+    return named, again.mapInArrow(finish, schema)
 
 
 def _known_and(batches) -> Iterator[tuple]:

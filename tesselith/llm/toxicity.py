@@ -144,10 +144,11 @@ def words(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.lower(text), "[^\\p{L}]+")), lambda w: F.length(w) >= LEAST_LETTERS)
 
 
-def _begun(rows: DataFrame, longest: int) -> DataFrame:
-    """Words s with all their beginnings (a star at the end) of the lengths of stems, up to longest, and themselves, as key."""
-    cut = F.transform(F.sequence(F.lit(STEM_LENGTHS[0]), F.least(F.length("s"), F.lit(longest))), lambda n: F.concat(F.substr("s", F.lit(1), n), F.lit("*")))
-    return rows.withColumn("key", F.explode(F.concat(F.array("s"), F.when(F.length("s") >= STEM_LENGTHS[0], cut).otherwise(F.array().cast("array<string>")))))
+def _begun(some: Column, longest: int) -> Column:
+    """Words with all their beginnings (a star at the end) of the lengths of stems, up to longest, each once."""
+    lengths = lambda w: F.sequence(F.lit(STEM_LENGTHS[0]), F.least(F.length(w), F.lit(longest)))
+    cut = F.transform(F.filter(some, lambda w: F.length(w) >= STEM_LENGTHS[0]), lambda w: F.transform(lengths(w), lambda n: F.concat(F.substr(w, F.lit(1), n), F.lit("*"))))
+    return F.array_distinct(F.concat(some, F.flatten(cut)))
 
 
 def learn_stems(labelled: DataFrame) -> dict[str, float]:
@@ -158,8 +159,7 @@ def learn_stems(labelled: DataFrame) -> dict[str, float]:
     if not n_toxic:
         return {}
     longest = STEM_LENGTHS[-1] + 1
-    spoken = _begun(labelled.where("toxic = 1").select(F.monotonically_increasing_id().alias("i"), F.explode(words(F.col("text"))).alias("s")), longest)
-    toxic = stored(spoken.select("i", "key").distinct(), "words")
+    toxic = stored(labelled.where("toxic = 1").select(F.monotonically_increasing_id().alias("i"), F.explode(_begun(words(F.col("text")), longest)).alias("key")), "words")
     counts = stored(toxic.groupBy("key").agg(F.count("*").alias("t")).where(F.col("t") >= MIN_TEXTS), "counts")
     # of a beginning the most frequent continuation: by a letter, or as a word that ends here
     bare = F.rtrim("key", F.lit("*"))
@@ -169,7 +169,7 @@ def learn_stems(labelled: DataFrame) -> dict[str, float]:
     seen = counts.join(most, "key", "left").where(~starred | ((F.length(bare) < longest) & (F.col("t") >= BRANCHING * F.coalesce("most", F.lit(0)))))
     clean = stored(labelled.where("toxic != 1").select(F.explode(words(F.col("text"))).alias("s")).groupBy("s").agg(F.count("*").alias("c")), "words")
     # a beginning's texts are no more than its words' texts: a bound that serves here, as offences are in almost no clean text
-    held = _begun(clean, STEM_LENGTHS[-1]).join(seen.select("key"), "key").groupBy("key").agg(F.sum("c").alias("c"))
+    held = clean.withColumn("key", F.explode(_begun(F.array("s"), STEM_LENGTHS[-1]))).join(seen.select("key"), "key").groupBy("key").agg(F.sum("c").alias("c"))
     rows = seen.join(held, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     careful = lambda t, c: F.log((F.greatest(F.lit(0.5), t - 1.5 * F.sqrt(t))) / (n_toxic + 1)) - F.log((c + 1 + 1.5 * F.sqrt(c + 1)) / (n_clean + 1))
     rows = rows.withColumn("w", careful(F.col("t"), F.col("c"))).where(F.col("w") >= math.log(RATIO)).orderBy(F.col("w").desc(), "key").limit(MOST_STEMS)
