@@ -32,8 +32,9 @@ from .common import drop_stored, joined_to_class, once, pieces, stored
 from .shingles import WordHashes, mixed
 
 LAST = 2**63 - 1
-#: Bytes of text whose places are merged at once, and that share a destination.
-LOT_BYTES, DEST_BYTES = 16 << 20, 16 << 20
+#: Bytes of text that are hashed at once (some 80 bytes of work space each), whose places are merged at once (20), and
+#: that share a destination.
+PIECE_BYTES, LOT_BYTES, DEST_BYTES = 1 << 20, 8 << 20, 16 << 20
 #: Places of a bucket, about: some 100 bytes each while it is sorted.
 BUCKET_PLACES = 500_000
 #: Symbols in the different fragments of one anchor beyond which they are cut into single runs.
@@ -280,7 +281,7 @@ def scan_places(rows: DataFrame, make_kind: Callable, window: int, buckets: int,
                     texts.setdefault(shas[k], k)  # copies of a whole text are settled by its hash
                 kept = list(texts.values())
                 found = []
-                for s, e in pieces([whole[k] for k in kept], 4 << 20):
+                for s, e in pieces([whole[k] for k in kept], PIECE_BYTES):
                     a, h, t, start, runs = stretches(kind, powers, [whole[k] for k in kept[s:e]], window)
                     node, doc = (np.array([x[k] for k in kept[s:e]], np.int64) for x in (nodes, docs))
                     found.append((a, h, node[t], doc[t], start, runs))
@@ -332,7 +333,7 @@ def settle(dealt: DataFrame, dests: int, window: int, exact: bool) -> DataFrame:
 
 def _texts_with(batches, widths: dict[int, str]) -> Iterator[tuple]:
     """Rows of (k, kind, node, doc, z, data), sorted by k and kind, packed rows before texts: for each text its node, doc,
-    z, and the packed columns of each kind that belong to it. Repeated rows are left out."""
+    z, data, and the packed columns of each kind that belong to it. Repeated rows are left out."""
     now, held, tables, seen = None, {kind: [] for kind in widths}, None, set()
     for b in batches:
         cols = [b.column(c).to_pylist() for c in ("k", "kind", "node", "doc", "z", "data")]
@@ -357,7 +358,7 @@ def _texts_with(batches, widths: dict[int, str]) -> Iterator[tuple]:
                 a, e = np.searchsorted(x[0], node), np.searchsorted(x[0], node, "right")
                 p, q = a + np.searchsorted(x[1][a:e], doc), a + np.searchsorted(x[1][a:e], doc, "right")
                 mine[one] = [c[p:q] for c in x[2:]]
-            yield k, node, doc, z, mine
+            yield k, node, doc, z, data, mine
 
 
 OUT = "kind int, k long, node long, doc long, h long, s long, data binary, known binary"
@@ -389,8 +390,8 @@ def cut(texts: DataFrame, make_kind: Callable, window: int, buckets: int, dests:
             places = [g[at], g2[at], node, doc, start, np.ones(len(at), np.int64)]
             return [(kind_, k, None, None, None, None, data, None) for kind_, k, data in _merged(places, buckets, dests)]
 
-        for k, node, doc, z, mine in _texts_with(batches, {HIT: HITS, OPENED: OPEN}):
-            if crowd_size > LOT_BYTES // 8:
+        for k, node, doc, z, _, mine in _texts_with(batches, {HIT: HITS, OPENED: OPEN}):
+            if crowd_size > PIECE_BYTES:
                 yield _table(runs_of_crowd())
                 crowd, crowd_size = [], 0
             a, h, start, runs, crowded = mine[OPENED]
@@ -408,7 +409,7 @@ def cut(texts: DataFrame, make_kind: Callable, window: int, buckets: int, dests:
                     else:
                         out.append((FRAGMENT, a_, node, doc, h_, s, fragment, None))
                         size += len(fragment)
-            if size > LOT_BYTES // 4:
+            if size > 4 * PIECE_BYTES:
                 yield _table(out)
                 out, size = [], 0
         if crowd:
@@ -522,17 +523,8 @@ def recurring_runs(docs: DataFrame, make_kind: Callable, window: int, locate: Ca
 
 def _known_and(batches) -> Iterator[tuple]:
     """Texts with their earlier hits, which came with them, and the later ones."""
-    known: list[bytes] = []
-
-    def passed():
-        for b in batches:
-            known.extend(x for x, kind in zip(b.column("data").to_pylist(), b.column("kind").to_pylist()) if kind == TEXT)
-            yield b
-
-    for i, (_, node, doc, z, mine) in enumerate(_texts_with(passed(), {HIT: HITS})):
-        own = unpacked(known[i], HITS)
-        known[i] = b""
-        hit = [np.concatenate(x) for x in zip(own, mine[HIT])]
+    for _, node, doc, z, known, mine in _texts_with(batches, {HIT: HITS}):
+        hit = [np.concatenate(x) for x in zip(unpacked(known, HITS), mine[HIT])]
         if len(hit[0]):
             yield node, doc, unzipped([z])[0], hit
 
