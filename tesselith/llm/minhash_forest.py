@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import joined_to_class, once, pieces, stored, table
+from .common import joined_to_class, pieces, stored, table
 from .components import components
 from .shingles import WordHashes, shingle_sets
 
@@ -47,7 +47,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, t, n, node, sig: a hash of the text, size of the shingle set, its hash and its HASHES least values; node is null without words."""
 
     def run(batches):
-        cache, (mul, add) = once(("words",), WordHashes), _coefficients(HASHES)
+        cache, (mul, add) = WordHashes(), _coefficients(HASHES)
         for b in batches:
             texts = [(t or "").encode().lower() for t in b.column("text").to_pylist()]
             for i, j in pieces(texts, 4 << 20):
@@ -206,7 +206,7 @@ def full_sets(wanted: DataFrame, docs: DataFrame, sigs: DataFrame, k: int) -> Da
     whose = sigs.where("node is not null and doc_id is not null").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def sets(batches):
-        cache = once(("words",), WordHashes)
+        cache = WordHashes()
         for b in batches:
             texts = [(t or "").encode().lower() for t in b.column("text").to_pylist()]
             for i, j in pieces(texts, 4 << 20):
@@ -294,7 +294,7 @@ def audit(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[int, int]:
     docs = docs.select("doc_id", "text").withColumn("t", F.xxhash64("text"))
 
     def sets(batches):
-        cache = once(("words",), WordHashes)
+        cache = WordHashes()
         for b in batches:
             texts = [(t or "").encode().lower() for t in b.column("text").to_pylist()]
             for i, j in pieces(texts, 4 << 20):

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, joined_to_class, once, pieces, stored
+from .common import drop_stored, joined_to_class, pieces, stored
 from .shingles import WordHashes, mixed
 
 LAST = 2**63 - 1
@@ -51,7 +51,7 @@ class Words:
     grams = 6
 
     def __init__(self):
-        self.cache = once(("words",), WordHashes)
+        self.cache = WordHashes()
 
     def split(self, text: bytes) -> list[bytes]:
         return text.split()
